@@ -6,9 +6,10 @@ may still split for skew):
 * ``bounded_broadcast`` — for a *scan* of a small table: a ``limit(n+1)``
   count reads at most n+1 rows, then the side is hinted for broadcast.
 * ``materialize_small`` — for a *derived* frame (an aggregate): it is
-  checkpointed once to the shared checkpoint folder, counted, and only
-  then broadcast, so the aggregate is not recomputed by the join and the
-  big side is never shuffled when the small side fits.
+  computed once, checkpointed to the shared checkpoint folder (cutting its
+  lineage, so a lost executor does not re-run the aggregate), counted, and
+  only then broadcast.  The big side is never shuffled when the small side
+  fits.
 """
 
 from __future__ import annotations
@@ -27,8 +28,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once and checkpoint to the shared checkpoint folder (an eager
+    reliable checkpoint writes while computing; no second pass)."""
     checkpoint_dir(df.sparkSession)
-    m = df.checkpoint(eager=True)
+    return df.checkpoint(eager=True)
+
+
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    m = materialize(df)
     n = m.count()
     return F.broadcast(m) if n <= max_rows else m

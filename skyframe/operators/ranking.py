@@ -7,12 +7,13 @@ work.  These helpers avoid per-key windows:
 * ``first_per_key`` — the first row of each key as a ``min(struct(...))``
   aggregate, which Spark combines map-side before the shuffle, so a hot
   key arrives pre-reduced.
-* ``global_rank`` — a dense 1-based rank over a total order: range
-  partitioning on the full (unique) order splits hot keys across tasks;
-  each task numbers its rows; per-partition offsets (one row per partition,
-  a proven bound) are broadcast.  The numbered rows are checkpointed to the
-  shared checkpoint folder so counts and numbers come from the same data
-  even when a task is re-run on another executor.
+* ``global_rank`` — a 1-based row number over a total order: range
+  partitioning on the full order splits hot keys across tasks; each task
+  numbers its sorted rows; per-partition counts turn into offsets (one row
+  per partition, a proven bound) that are broadcast.  The numbered rows are
+  checkpointed to the shared checkpoint folder first, so counts and numbers
+  come from the same data (two plans over one range exchange would sample
+  their bounds separately) and a lost executor does not re-run the sort.
 * ``next_in_group`` — the next row of the same group in order (``lead``):
   rows ranked as above, then joined to rank + 1, an equi-join on a unique,
   evenly spread key.
@@ -23,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from .joins import materialize
+
 
 
 def _sort_col(c) -> Column:
@@ -47,11 +49,10 @@ def global_rank(df: DataFrame, order, name: str = "rank", num_partitions: int |
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_col(c) for c in order]
-    checkpoint_dir(spark)
     numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .checkpoint(eager=True))
+                  .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = materialize(numbered)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by n, safe to broadcast
     offsets = counts.select(

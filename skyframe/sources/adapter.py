@@ -31,8 +31,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def supplier_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> region name.  Nation and region are fixed-size
-    dimensions; they are broadcast after a row-count check."""
+    """supplier -> region name.  Region and nation are fixed-size dimensions;
+    each is broadcast after a row-count check."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -45,14 +45,17 @@ def supplier_district(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ODS-shaped rows (all text) + row identity.
 
-    lineitem joins part and supplier on their keys; Spark picks broadcast or
-    sort-merge from sizes (static statistics, then AQE at runtime) — at
-    full scale both are shuffle joins on the key, as they should be.
+    lineitem joins part and supplier on their keys.  Part is left to Spark's
+    size-based choice (file statistics, then AQE at runtime); supplier is
+    broadcast after a row-count check.  At full scale both become shuffle
+    joins on the key.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_size")
-    sd = supplier_district(spark, sf_dir)
+    # supplier grows with the data (1,000 rows per scale unit): broadcast
+    # only after a row-count check, else a shuffle join on the key
+    sd = bounded_broadcast(supplier_district(spark, sf_dir), 1_000_000)
     j = (li.join(part, li.l_partkey == part.p_partkey)
            .join(sd, li.l_suppkey == sd.s_suppkey))
     q = F.col("l_quantity").cast("int")
