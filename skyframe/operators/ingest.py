@@ -146,8 +146,10 @@ def list_tables(spark, db: str | None = None, prefix: str = "") -> list[str]:
 
 
 def union_catalog(spark, names, tag_col: str = "source") -> DataFrame:
-    """S11+S12: tagged union of catalog tables by name."""
-    return tagged_union({n: spark.table(n) for n in names}, tag_col)
+    """S11+S12: tagged union of catalog tables by name (non-ASCII names such
+    as district names are quoted)."""
+    from ..sources.tables import quote_ident
+    return tagged_union({n: spark.table(quote_ident(n)) for n in names}, tag_col)
 
 
 def dedupe(df: DataFrame, key, order) -> DataFrame:

@@ -33,12 +33,16 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(PAGES).parquet(path) if fmt == "parquet-strict" else spark.read.parquet(path)
 
 
-def decode_escaped(c: Column | str) -> Column:
-    """Undo ``\\uXXXX`` / ``\\/`` / ``\\"`` escapes; text that is not a valid
-    escaped string is returned unchanged."""
+def decode_escaped(c: Column | str, field: str = "data") -> Column:
+    """Undo the payload's JSON escapes (``\\uXXXX``, ``\\/``, ``\\"``).
+
+    A JSON object is unwrapped to its ``field``; a bare escaped text is read
+    as a JSON string; anything else (plain markup) is returned unchanged.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    decoded = F.get_json_object(F.concat(F.lit('{"v":"'), col, F.lit('"}')), "$.v")
-    return F.coalesce(decoded, col)
+    from_object = F.get_json_object(col, f"$.{field}")
+    from_string = F.get_json_object(F.concat(F.lit('{"v":"'), col, F.lit('"}')), "$.v")
+    return F.coalesce(from_object, from_string, col)
 
 
 def extract_rows(pages: DataFrame, keys=("url",), html: str = "html", row_re: str = ROW_RE,

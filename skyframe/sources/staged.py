@@ -2,8 +2,9 @@
 
 String fields are sanitised (``\\n``, ``\\r``, ``\\x01`` removed) so a record
 is one line; the field separator may be several characters (default
-``^WEA``); NULL is staged as the empty field and an empty string as a
-quoted empty field, so both survive the round trip.
+``^WEA``).  NULL is staged as ``\\N`` (Hive's null marker), so NULL and the
+empty string both survive the round trip; ``null=''`` reproduces a staging
+where the two collapse into the empty value (read back as NULL).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import sanitize_text
 
 SEP = "^WEA"
+NULL = "\\N"
 
 
 def sanitize_strings(df: DataFrame) -> DataFrame:
@@ -26,12 +28,12 @@ def _opts(sep: str, null: str) -> dict:
     return {"sep": sep, "nullValue": null, "quote": '"', "escape": '"', "header": "false"}
 
 
-def stage_text(df: DataFrame, path: str, sep: str = SEP, null: str = "", mode: str = "overwrite") -> str:
+def stage_text(df: DataFrame, path: str, sep: str = SEP, null: str = NULL, mode: str = "overwrite") -> str:
     """Write sanitised rows as delimited text."""
     sanitize_strings(df).write.mode(mode).options(**_opts(sep, null)).csv(path)
     return path
 
 
-def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = SEP, null: str = "") -> DataFrame:
+def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = SEP, null: str = NULL) -> DataFrame:
     """Read staged text back with a declared schema (no inference)."""
     return spark.read.schema(schema).options(**_opts(sep, null)).option("mode", "FAILFAST").csv(path)
