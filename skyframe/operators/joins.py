@@ -23,11 +23,28 @@ from ..session import checkpoint_dir
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      probe: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows.  ``probe`` is a
+    cheaper frame whose row count bounds ``df``'s (e.g. the fact side of a
+    join to a unique key); the count reads no columns of a plain scan."""
+    n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+def within_bounds(checks: dict[str, tuple[DataFrame, int]]) -> dict[str, bool]:
+    """Several row-count checks in one job: for each name, whether its frame
+    has at most its bound of rows.  Each frame is read through a limit, so
+    no more than bound + 1 rows per frame are counted; only one small row
+    per frame reaches the driver."""
+    parts = [df.limit(bound + 1).select(F.lit(name).alias("_check")) for name, (df, bound) in checks.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    counts = {r["_check"]: r["n"] for r in u.groupBy("_check").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: counts.get(name, 0) <= bound for name, (df, bound) in checks.items()}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once and checkpoint to the shared checkpoint folder (an eager
     reliable checkpoint writes while computing; no second pass)."""

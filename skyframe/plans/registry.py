@@ -319,7 +319,7 @@ SELECT page_id, CAST(generate_subscripts(regexp_extract_all(html, '{_LINK_RE}',
        unnest(regexp_extract_all(html, '{_LINK_RE}', 1)) AS row_html
 FROM pages""")
 def q_page_rows(spark, sf):
-    pg = read_table(spark, sf, "pages")
+    pg = read_table(spark, sf, "pages", spread_on=["page_id"])
     return P.extract_rows(pg, keys=("page_id",), row_re=_LINK_RE, skip_header=False, decode=False)
 
 
@@ -388,7 +388,7 @@ SELECT p.page_id, p.page_no, n.n_name
 FROM (SELECT page_id, TRY_CAST(regexp_extract(url, '[?&]page=([^&#]*)', 1) AS INTEGER) AS page_no FROM pages) p
 LEFT JOIN nation n ON p.page_no = n.n_nationkey""")
 def q_url_lookup(spark, sf):
-    pg = read_table(spark, sf, "pages").select(
+    pg = read_table(spark, sf, "pages", spread_on=["page_id"]).select(
         "page_id", url_param("url", "page").try_cast("int").alias("page_no"))
     nat = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
     return ingest.lookup(pg, nat, "page_no", "n_nationkey").select("page_id", "page_no", "n_name")
@@ -400,7 +400,7 @@ WITH e AS (SELECT event_id, user_id, ts, event_type,
            FROM events)
 SELECT event_id, user_id, ts, event_type FROM e WHERE event_type = 'error' AND (nxt IS NULL OR nxt = 'error')""")
 def q_dead_letter(spark, sf):
-    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    ev = read_table(spark, sf, "events", spread_on=["event_id"]).select("event_id", "user_id", "ts", "event_type")
     return ingest.dead_letter(ev, ["user_id"], ["ts", "event_id"], status="event_type", fail_value="error")
 
 
@@ -411,7 +411,7 @@ tgt AS (SELECT DISTINCT o_custkey, month(o_orderdate) AS mo FROM orders WHERE o_
 
 
 def _orders_split(spark, sf):
-    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice") \
+    o = read_table(spark, sf, "orders", spread_on=["o_orderkey"]).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice") \
         .withColumn("yr", F.year("o_orderdate")).withColumn("mo", F.month("o_orderdate"))
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
     return o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)
@@ -501,7 +501,7 @@ def q_split_valid(spark, sf):
 @register("stage_sanitize", r"""
 SELECT doc_id, regexp_replace(text, '[\n\r\x01]', '', 'g') AS text, lang, source FROM documents""")
 def q_stage_sanitize(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = read_table(spark, sf, "documents", spread_on=["doc_id"]).select("doc_id", "text", "lang", "source")
     path = staged.stage_text(docs, scratch_path(spark, "staged-documents"))
     return staged.read_staged(spark, path, docs.schema)
 
@@ -518,7 +518,7 @@ def q_table_roundtrip(spark, sf):
 
 @register("backup_restore", "SELECT * FROM orders")
 def q_backup_restore(spark, sf):
-    orders = read_table(spark, sf, "orders")
+    orders = read_table(spark, sf, "orders", spread_on=["o_orderkey"])
     snap = snapshot.backup(orders, scratch_path(spark, "backup-orders"))
     return snapshot.restore(spark, snap, verify=True)
 

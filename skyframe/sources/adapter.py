@@ -20,26 +20,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import within_bounds
 from ..session import sf_path
 
 ROW_ID = ["l_orderkey", "l_linenumber"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(sf_path(sf_dir, name))
+def spread(df: DataFrame, keys) -> DataFrame:
+    """Hash-repartition on ``keys`` when a scan yields fewer partitions than
+    the cluster has task slots (few large, unsplittable files); otherwise
+    leave the scan as is.  At scale the scan already has many splits and
+    this adds nothing; hashing on a key (not round-robin) keeps a re-run
+    task's output identical."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys)
 
 
-def supplier_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> region name.  Region and nation are fixed-size dimensions;
-    each is broadcast after a row-count check."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_on=None) -> DataFrame:
+    df = spark.read.parquet(sf_path(sf_dir, name))
+    return spread(df, spread_on) if spread_on else df
+
+
+def supplier_district(spark: SparkSession, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """supplier -> region name, broadcast-ready when small.
+
+    Region and nation are fixed-size dimensions, supplier grows with the
+    data (1,000 rows per scale unit).  All three are row-count checked in
+    one job; each side is broadcast only within its bound, else joined by
+    shuffle.  The result has at most one row per supplier (the nation and
+    region keys are unique), so the supplier count bounds it.
+    """
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nat_reg = (nat.join(bounded_broadcast(reg, 10_000), nat.n_regionkey == reg.r_regionkey)
-               .select("n_nationkey", "r_name"))
-    return (sup.join(bounded_broadcast(nat_reg, 10_000), sup.s_nationkey == nat_reg.n_nationkey)
-            .select("s_suppkey", F.col("r_name").alias("district")))
+    ok = within_bounds({"region": (reg, 10_000), "nation": (nat, 10_000), "supplier": (sup, broadcast_rows)})
+    reg_side = F.broadcast(reg) if ok["region"] else reg
+    nat_reg = nat.join(reg_side, nat.n_regionkey == reg.r_regionkey).select("n_nationkey", "r_name")
+    nat_side = F.broadcast(nat_reg) if ok["nation"] else nat_reg
+    sd = (sup.join(nat_side, sup.s_nationkey == nat_reg.n_nationkey)
+          .select("s_suppkey", F.col("r_name").alias("district")))
+    return F.broadcast(sd) if ok["supplier"] else sd
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,10 +74,9 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate")
+    li = spread(li, ["l_orderkey", "l_linenumber"])
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_size")
-    # supplier grows with the data (1,000 rows per scale unit): broadcast
-    # only after a row-count check, else a shuffle join on the key
-    sd = bounded_broadcast(supplier_district(spark, sf_dir), 1_000_000)
+    sd = supplier_district(spark, sf_dir)
     j = (li.join(part, li.l_partkey == part.p_partkey)
            .join(sd, li.l_suppkey == sd.s_suppkey))
     q = F.col("l_quantity").cast("int")
