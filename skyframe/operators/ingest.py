@@ -175,3 +175,43 @@ def missing_targets(grid: DataFrame, stored: DataFrame, keys) -> DataFrame:
     """Expected targets with nothing stored for them."""
     keys = list(keys)
     return grid.join(stored.select(*keys).distinct(), keys, "left_anti")
+
+
+def write_dead_letters(dead: DataFrame, path: str, col: str = "url") -> str:
+    """S8 sink: append the failed targets, one per line, to a text folder."""
+    dead.select(F.col(col).cast("string")).write.mode("append").text(path)
+    return path
+
+
+def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None = None,
+                 url_col: str = "url", html_col: str = "html", mode: str = "atomic"):
+    """S1-S10 composed: landed pages -> ODS rows accepted into ``target``.
+
+    Each page is one batch (one area-month).  Its area id comes from the URL,
+    its district from the area dimension; records are routed by arity; a
+    page with a bad record, an unknown area, a date repeated inside it, a
+    date already in ``target`` or held by an earlier page (by year, month)
+    is rejected whole (``mode='atomic'``), or rows are taken first-wins
+    (``mode='first_wins'``).  Returns (accepted ODS rows, rejected rows).
+    """
+    from ..functions.scalars import url_param
+    from ..schema import OBS_COLUMNS
+    from ..sources.pages import page_records
+
+    spark = pages.sparkSession
+    areas = areas if areas is not None else area_dim(spark)
+    dim = areas.select(F.col("area_id").alias("_area_id"), F.col("district"))
+    recs = route_records(page_records(pages, keys=(url_col,), html=html_col))
+    keyed = (recs.withColumn("_area", url_param(url_col, fixed.AREA_KEY, fixed.AREA_ID_WIDTH))
+                 .withColumn("_year", url_param(url_col, "date%5Byear%5D").try_cast("int"))
+                 .withColumn("_month", url_param(url_col, "date%5Bmonth%5D").try_cast("int")))
+    rows = lookup(keyed, dim, "_area", "_area_id")
+    rows = rows.withColumn("status", F.when(F.col("district").isNull(), F.lit("bad")).otherwise(F.col("status")))
+    key = ["district", "year_mon_day"]
+    if mode == "atomic":
+        acc, rej = insert_batches(target, rows, batch=[url_col], key=key, batch_order=["_year", "_month"],
+                                  status_col="status")
+    else:
+        acc, rej = insert_batches(target, rows, batch=[url_col], key=key, mode="first_wins",
+                                  order=["_year", "_month", url_col, "row_no"], status_col="status")
+    return acc.select(*OBS_COLUMNS), rej.drop("_area", "_area_id", "_year", "_month")

@@ -42,3 +42,46 @@ def test_records_route(spark):
     routed = route_records(page_records(df)).orderBy("row_no").collect()
     assert [(r.status, r.year_mon_day, r.wind, r.aqi) for r in routed] == [
         ("ok", "2016-01-01", "西北风", "42"), ("short", "2016-01-02", "无", None)]
+
+
+def _url(area, year, month):
+    from skyframe import fixed
+    return fixed.URL_TEMPLATE.format(base="http://h/x", area=area, year=year, month=month)
+
+
+def test_ingest_pages_batch_atomic(spark):
+    from skyframe.operators.ingest import ingest_pages
+    from skyframe.schema import ODS
+
+    def page(rows):
+        return escaped(f"<table>{HEADER}{''.join(rows)}</table>")
+
+    def row(day, wk, aqi="42 优"):
+        return (f"<tr><td>{day} {wk}</td><td>5°</td><td>-6°</td><td>晴</td><td>北风2级</td>"
+                f"<td><span>{aqi}</span></td></tr>")
+
+    pages = [
+        (_url("60198", 2016, 1), page([row("2016-01-01", "周五"), row("2016-01-02", "周六", "-")])),  # ok
+        (_url("60198", 2016, 2), page([row("2016-02-01", "周一"), "<tr><td>2016-02-02</td><td>x</td></tr>"])),  # bad row
+        (_url("71141", 2016, 1), page([row("2016-01-01", "周五")])),     # other district, same date: ok
+        (_url("71141", 2016, 3), page([row("2016-03-01", "周二")])),     # date already stored
+        (_url("99999", 2016, 1), page([row("2016-01-01", "周五")])),     # unknown area
+        (_url("60198", 2016, 4), page([row("2016-04-01", "周五"), row("2016-04-01", "周五")])),  # dup date
+    ]
+    df = spark.createDataFrame(pages, "url string, html string")
+    target = spark.createDataFrame([("朝阳", "2016-03-01", "周二", "1°", "0°", "晴", "无", "1", "优")], ODS)
+    acc, rej = ingest_pages(df, target)
+    got = sorted((r.district, r.year_mon_day, r.wind, r.aqi) for r in acc.collect())
+    assert got == [("昌平", "2016-01-01", "北风", "42"), ("昌平", "2016-01-02", "北风", None),
+                   ("朝阳", "2016-01-01", "北风", "42")]
+    assert acc.columns == list(ODS.fieldNames())
+    assert rej.select("url").distinct().count() == 4
+
+
+def test_dead_letter_text_sink(spark, tmp_path):
+    from skyframe.operators.ingest import write_dead_letters
+    df = spark.createDataFrame([("http://a",), ("http://b",)], "url string")
+    path = str(tmp_path / "dead")
+    write_dead_letters(df, path)
+    write_dead_letters(df.limit(1), path)
+    assert spark.read.text(path).count() == 3
