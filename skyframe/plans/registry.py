@@ -40,9 +40,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def ods(spark: SparkSession, sf: str) -> DataFrame:
+    """The staged (ODS) table: the source rows landed once per application,
+    so cleaning reads a table instead of re-running the source joins."""
+    return serving_table(spark, f"ods:{sf}", lambda: observations(spark, sf))
+
+
 def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:
     """The clean job itself, from the staged rows."""
-    return C.clean(observations(spark, sf), keep=ROW_ID)
+    return C.clean(ods(spark, sf), keep=ROW_ID)
 
 
 def dwd(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,24 +97,24 @@ def q_clean_dwd(spark, sf):
 
 @register("strict_cast", WITH_TYPED + "\nSELECT l_orderkey, l_linenumber, max_t, min_t FROM typed")
 def q_strict_cast(spark, sf):
-    return C.cast_temperatures(observations(spark, sf)).select(*ROW_ID, "max_t", "min_t")
+    return C.cast_temperatures(ods(spark, sf)).select(*ROW_ID, "max_t", "min_t")
 
 
 @register("lenient_cast", WITH_TYPED + "\nSELECT l_orderkey, l_linenumber, aqi0 AS aqi FROM typed")
 def q_lenient_cast(spark, sf):
-    return C.cast_aqi(observations(spark, sf)).select(*ROW_ID, "aqi")
+    return C.cast_aqi(ods(spark, sf)).select(*ROW_ID, "aqi")
 
 
 @register("impute_mean", WITH_TYPED + "\nSELECT l_orderkey, l_linenumber, district, year_mon_day, aqi FROM filled")
 def q_impute_mean(spark, sf):
-    df = C.impute_group_mean(C.cast_aqi(observations(spark, sf)))
+    df = C.impute_group_mean(C.cast_aqi(ods(spark, sf)))
     return df.select(*ROW_ID, "district", "year_mon_day", "aqi")
 
 
 @register("band_classify", WITH_TYPED + f"\nSELECT l_orderkey, l_linenumber, aqi0 AS aqi, "
           f"{_BANDS_SQL.format(v='aqi0')} AS aqi_type FROM typed")
 def q_band_classify(spark, sf):
-    df = C.classify_aqi(C.cast_aqi(observations(spark, sf)))
+    df = C.classify_aqi(C.cast_aqi(ods(spark, sf)))
     return df.select(*ROW_ID, "aqi", "aqi_type")
 
 
@@ -328,7 +334,7 @@ _REC_SQL = ("CASE WHEN aqi = '-' THEN concat_ws(',', year_mon_day, week, max_t,
 
 
 def _records(spark, sf):
-    o = observations(spark, sf)
+    o = ods(spark, sf)
     rec = F.when(F.col("aqi") == "-", F.concat_ws(",", "year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi")) \
            .otherwise(F.concat_ws(",", "year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi", F.lit("良")))
     return o.select(*ROW_ID, rec.alias("record"))
@@ -349,7 +355,7 @@ def q_record_route(spark, sf):
 @register("leading_token", WITH_OBS + "\nSELECT l_orderkey, l_linenumber, wind, "
           "regexp_extract(wind, '^\\s*([^\\s]+)', 1) AS wind_token FROM obs")
 def q_leading_token(spark, sf):
-    return observations(spark, sf).select(*ROW_ID, "wind", leading_token("wind").alias("wind_token"))
+    return ods(spark, sf).select(*ROW_ID, "wind", leading_token("wind").alias("wind_token"))
 
 
 _GRID_URL = ("'http://weather.example/history?areaInfo%5BareaId%5D=' || CAST(n_nationkey AS VARCHAR) || "
@@ -400,7 +406,7 @@ WITH e AS (SELECT event_id, user_id, ts, event_type,
            FROM events)
 SELECT event_id, user_id, ts, event_type FROM e WHERE event_type = 'error' AND (nxt IS NULL OR nxt = 'error')""")
 def q_dead_letter(spark, sf):
-    ev = read_table(spark, sf, "events", spread_on=["event_id"]).select("event_id", "user_id", "ts", "event_type")
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
     return ingest.dead_letter(ev, ["user_id"], ["ts", "event_id"], status="event_type", fail_value="error")
 
 
@@ -411,7 +417,7 @@ tgt AS (SELECT DISTINCT o_custkey, month(o_orderdate) AS mo FROM orders WHERE o_
 
 
 def _orders_split(spark, sf):
-    o = read_table(spark, sf, "orders", spread_on=["o_orderkey"]).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice") \
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice") \
         .withColumn("yr", F.year("o_orderdate")).withColumn("mo", F.month("o_orderdate"))
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
     return o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)
@@ -492,7 +498,7 @@ def validity_rules():
 v AS (SELECT l_orderkey, l_linenumber, {_RULES_SQL} AS vio FROM obs)
 SELECT l_orderkey, l_linenumber, len(vio) = 0 AS valid, array_to_string(vio, ',') AS violations FROM v""")
 def q_split_valid(spark, sf):
-    m = ingest.mark_valid(observations(spark, sf), validity_rules())
+    m = ingest.mark_valid(ods(spark, sf), validity_rules())
     return m.select(*ROW_ID, "valid", F.array_join("violations", ",").alias("violations"))
 
 
@@ -518,7 +524,7 @@ def q_table_roundtrip(spark, sf):
 
 @register("backup_restore", "SELECT * FROM orders")
 def q_backup_restore(spark, sf):
-    orders = read_table(spark, sf, "orders", spread_on=["o_orderkey"])
+    orders = read_table(spark, sf, "orders")
     snap = snapshot.backup(orders, scratch_path(spark, "backup-orders"))
     return snapshot.restore(spark, snap, verify=True)
 

@@ -1,5 +1,6 @@
-"""Serving tables: the cleaned table written once, read by every dashboard
-query (ETL -> DWD -> dashboard).
+"""Serving tables: the staged (ODS) and cleaned (DWD) tables, each written
+once per application and read by every later query (land -> ODS -> clean ->
+DWD -> dashboard).
 
 The table is written under the shared checkpoint folder, partitioned by
 district (a place filter prunes whole folders) and range-partitioned and
@@ -13,6 +14,7 @@ Within one Spark application the inputs are taken as immutable; pass
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,20 +22,22 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 _SERVED: dict[tuple[str, str], tuple[str, object, list[str]]] = {}
+_LOCK = threading.RLock()  # builds nest (DWD build reads the ODS table)
 
 
 def serving_table(spark: SparkSession, key: str, build: Callable[[], DataFrame],
                   partition_by=("district",), sort_by=("year_mon_day",), refresh: bool = False) -> DataFrame:
     k = (spark.sparkContext.applicationId, key)
-    hit = _SERVED.get(k)
-    if hit is None or refresh:
-        df = build()
-        path = scratch_path(spark, "serving")
-        (df.repartitionByRange(*partition_by, *sort_by)
-           .sortWithinPartitions(*partition_by, *sort_by)
-           .write.mode("error").partitionBy(*partition_by).parquet(path))
-        hit = (path, df.schema, df.columns)
-        _SERVED[k] = hit
+    with _LOCK:
+        hit = _SERVED.get(k)
+        if hit is None or refresh:
+            df = build()
+            path = scratch_path(spark, "serving")
+            (df.repartitionByRange(*partition_by, *sort_by)
+               .sortWithinPartitions(*partition_by, *sort_by)
+               .write.mode("error").partitionBy(*partition_by).parquet(path))
+            hit = (path, df.schema, df.columns)
+            _SERVED[k] = hit
     path, schema, columns = hit
     # declared schema: partition values are not type-inferred
     return spark.read.schema(schema).parquet(path).select(*columns)
