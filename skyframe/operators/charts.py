@@ -68,8 +68,10 @@ def map_timeline(df: DataFrame, period: str = "", spec=fixed.MAP_PIECES) -> Data
 
 
 def category_counts(df: DataFrame, col: str = "weather") -> DataFrame:
-    """Rows per category; NULL is its own category."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per category; NULL is its own category.  Ordered by count
+    (descending), then value — a sort of the aggregated categories only."""
+    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.col("n").desc(), F.col(col).asc_nulls_last()))
 
 
 def category_share(df: DataFrame, col: str = "weather") -> DataFrame:

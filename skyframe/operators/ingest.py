@@ -133,7 +133,9 @@ def area_dim(spark) -> DataFrame:
 
 def tagged_union(frames: dict[str, DataFrame], tag_col: str = "source") -> DataFrame:
     """UNION ALL of the frames, each prefixed with its name as a tag;
-    columns are matched by position (names from the first frame)."""
+    columns are matched by position (names from the first frame) and
+    duplicates are kept.  An empty frame adds no rows, so it needs no
+    special case (and no count job)."""
     tagged = [df.select(F.lit(tag).alias(tag_col), "*") for tag, df in frames.items()]
     if not tagged:
         raise ValueError("tagged_union needs at least one frame")
