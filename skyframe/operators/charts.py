@@ -67,18 +67,25 @@ def map_timeline(df: DataFrame, period: str = "", spec=fixed.MAP_PIECES) -> Data
     return f.join(numbered, "year_mon_day")
 
 
+def _counts(df: DataFrame, col: str) -> DataFrame:
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _by_count(df: DataFrame, col: str) -> DataFrame:
+    return df.orderBy(F.col("n").desc(), F.col(col).asc_nulls_last())
+
+
 def category_counts(df: DataFrame, col: str = "weather") -> DataFrame:
     """Rows per category; NULL is its own category.  Ordered by count
     (descending), then value — a sort of the aggregated categories only."""
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.col("n").desc(), F.col(col).asc_nulls_last()))
+    return _by_count(_counts(df, col), col)
 
 
 def category_share(df: DataFrame, col: str = "weather") -> DataFrame:
     """Count and share of all rows per category.  The total is a window
     over the aggregated categories (one row each), not over the rows."""
-    c = category_counts(df, col)
-    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    c = _counts(df, col).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return _by_count(c, col)
 
 
 def extents(df: DataFrame, cols=("max_t", "min_t", "aqi")) -> DataFrame:

@@ -32,8 +32,11 @@ def spread(df: DataFrame, keys) -> DataFrame:
     leave the scan as is.  At scale the scan already has many splits and
     this adds nothing; hashing on a key (not round-robin) keeps a re-run
     task's output identical."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # sessions without RDD access: leave the scan as is
         return df
     return df.repartition(slots, *keys)
 
