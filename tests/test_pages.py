@@ -85,3 +85,13 @@ def test_dead_letter_text_sink(spark, tmp_path):
     write_dead_letters(df, path)
     write_dead_letters(df.limit(1), path)
     assert spark.read.text(path).count() == 3
+
+
+def test_read_pages_from_landed_files(spark, tmp_path):
+    from skyframe.sources.pages import read_pages
+    table = f"<table>{HEADER}{ROW1}{ROW2}</table>"
+    (tmp_path / "p1.html").write_text(escaped(table), encoding="utf-8")
+    (tmp_path / "p2.html").write_text(f"<table>{HEADER}</table>", encoding="utf-8")
+    pages = read_pages(spark, str(tmp_path / "*.html"), fmt="text")
+    recs = page_records(pages).collect()
+    assert len(recs) == 2 and all(r.url.endswith("p1.html") for r in recs)
