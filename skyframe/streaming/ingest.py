@@ -68,3 +68,51 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, key, o
     if stored is None:
         return spark.createDataFrame([], schema)
     return stored.drop("batch_id")
+
+
+def make_page_upsert(target: str, rejected: str, mode: str = "atomic"):
+    """foreachBatch body for landed pages: extract, route and accept rows
+    against what earlier batches stored (S3 -> S4 -> S6/S7)."""
+    from ..operators.ingest import ingest_pages
+    from ..operators.joins import materialize
+    from ..schema import ODS
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = _stored(spark, target)
+        earlier = (stored.filter(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
+                   if stored is not None else spark.createDataFrame([], ODS))
+        acc, rej = ingest_pages(batch, earlier, mode=mode)
+        # decide both sides before writing either (they read the same state)
+        acc, rej = materialize(acc), materialize(rej)
+        acc.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        rej.write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+
+    return upsert
+
+
+def ingest_pages_stream(spark: SparkSession, source: str, target: str | None = None,
+                        rejected: str | None = None, checkpoint: str | None = None, fmt: str = "parquet",
+                        mode: str = "atomic", timeout_s: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """D6 for weather pages: run the stream over the pages landed so far;
+    returns (stored ODS rows, rejected rows)."""
+    from ..schema import ODS, PAGES
+
+    target = target or scratch_path(spark, "pages-target")
+    rejected = rejected or scratch_path(spark, "pages-rejected")
+    checkpoint = checkpoint or scratch_path(spark, "pages-ckpt")
+    q = (spark.readStream.schema(PAGES).format(fmt).load(source).writeStream
+         .foreachBatch(make_page_upsert(target, rejected, mode))
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("stream did not finish")
+    if q.exception() is not None:
+        raise q.exception()
+    stored = _stored(spark, target)
+    rej = _stored(spark, rejected)
+    return (stored.drop("batch_id") if stored is not None else spark.createDataFrame([], ODS),
+            rej.drop("batch_id") if rej is not None else None)

@@ -95,3 +95,28 @@ def test_read_pages_from_landed_files(spark, tmp_path):
     pages = read_pages(spark, str(tmp_path / "*.html"), fmt="text")
     recs = page_records(pages).collect()
     assert len(recs) == 2 and all(r.url.endswith("p1.html") for r in recs)
+
+
+def test_page_stream_lands_waves_key_unique(spark, tmp_path):
+    from skyframe.streaming.ingest import ingest_pages_stream
+
+    def page(day, wk, aqi="42 优"):
+        return escaped(f"<table>{HEADER}<tr><td>{day} {wk}</td><td>5°</td><td>-6°</td><td>晴</td>"
+                       f"<td>北风2级</td><td><span>{aqi}</span></td></tr></table>")
+
+    land = tmp_path / "land"
+    wave1 = [(_url("60198", 2016, 1), page("2016-01-01", "周五")),
+             (_url("71141", 2016, 1), page("2016-01-01", "周五"))]
+    wave2 = [(_url("60198", 2016, 1), page("2016-01-01", "周五")),   # re-sent: rejected whole
+             (_url("60198", 2016, 2), page("2016-02-01", "周一"))]
+    spark.createDataFrame(wave1, "url string, html string").coalesce(1).write.parquet(str(land / "w1"))
+    kw = dict(target=str(tmp_path / "t"), rejected=str(tmp_path / "r"), checkpoint=str(tmp_path / "c"),
+              timeout_s=300)
+    src = str(land / "*" / "*.parquet")
+    stored, _ = ingest_pages_stream(spark, src, **kw)
+    assert stored.count() == 2
+    spark.createDataFrame(wave2, "url string, html string").coalesce(1).write.parquet(str(land / "w2"))
+    stored, rej = ingest_pages_stream(spark, src, **kw)
+    got = sorted((r.district, r.year_mon_day) for r in stored.collect())
+    assert got == [("昌平", "2016-01-01"), ("昌平", "2016-02-01"), ("朝阳", "2016-01-01")]
+    assert rej.select("url").distinct().count() == 1
