@@ -143,8 +143,10 @@ def tagged_union(frames: dict[str, DataFrame], tag_col: str = "source") -> DataF
 
 
 def list_tables(spark, db: str | None = None, prefix: str = "") -> list[str]:
-    """Names of the tables (and views) of a database."""
-    return sorted(t.name for t in spark.catalog.listTables(db) if t.name.startswith(prefix))
+    """Names of the tables (and views) of a database.  The prefix is
+    passed to the catalog as a pattern, so other views are not resolved."""
+    pattern = f"{prefix}*" if prefix else None
+    return sorted(t.name for t in spark.catalog.listTables(db, pattern) if t.name.startswith(prefix))
 
 
 def union_catalog(spark, names, tag_col: str = "source") -> DataFrame:
