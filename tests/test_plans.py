@@ -46,3 +46,20 @@ def test_dimension_lookup_is_broadcast(spark, sf_dir):
 def test_map_timeline_does_not_collect_frames(spark, sf_dir):
     plan = plan_text(E.queries()["map_timeline"](spark, sf_dir), "extended")
     assert "collect_list" not in plan and "collect_set" not in plan
+
+
+def test_first_per_key_combines_map_side(spark, sf_dir):
+    plan = plan_text(E.queries()["dedupe"](spark, sf_dir), "extended")
+    assert "partial_min" in plan
+
+
+def test_batch_rules_combine_map_side(spark, sf_dir):
+    plan = plan_text(E.queries()["batch_atomic"](spark, sf_dir), "extended")
+    assert "partial_count" in plan and "partial_min" in plan
+    assert "windowspecdefinition" not in plan
+
+
+def test_dead_letter_has_no_per_user_window(spark, sf_dir):
+    plan = plan_text(E.queries()["dead_letter"](spark, sf_dir), "extended")
+    assert "windowspecdefinition(user_id" not in plan
+    assert "rangepartitioning(user_id" in plan or "ExistingRDD" in plan
