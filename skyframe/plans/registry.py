@@ -515,7 +515,7 @@ def q_stage_sanitize(spark, sf):
 @register("table_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def q_table_roundtrip(spark, sf):
     import uuid
-    db = tables.ensure_database(spark, "skyframe_scratch")
+    db = tables.ensure_database(spark, "skyframe_scratch", location=scratch_path(spark, "db-scratch"))
     name = f"{db}.supplier_{uuid.uuid4().hex[:8]}"
     sup = read_table(spark, sf, "supplier")
     tables.write_table(sup, name, mode="overwrite", path=scratch_path(spark, "table-supplier"))
