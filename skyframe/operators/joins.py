@@ -56,3 +56,13 @@ def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     m = materialize(df)
     n = m.count()
     return F.broadcast(m) if n <= max_rows else m
+
+
+def keys_present(big: DataFrame, small: DataFrame, keys, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``small``.  When ``small`` is
+    within the row bound its keys are broadcast, so ``big`` is only scanned
+    and filtered (never shuffled); otherwise a plain semi join."""
+    keys = list(keys)
+    probe = small.select(*keys)
+    side = bounded_broadcast(probe, max_rows)
+    return big.join(side, keys, "left_semi")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.joins import keys_present
 from ..operators.ranking import first_per_key
 from ..session import scratch_path
 
@@ -35,8 +36,12 @@ def make_upsert(target: str, key, order):
         firsts = first_per_key(batch, key, order)
         stored = _stored(spark, target)
         if stored is not None:
-            earlier = stored.filter(F.col("batch_id") < F.lit(batch_id)).select(*key).distinct()
-            firsts = firsts.join(earlier, key, "left_anti")
+            # only stored keys that occur in this micro-batch matter: the
+            # batch's keys filter the stored table by broadcast (no shuffle
+            # of the stored side), then the anti join is between small sides
+            earlier = stored.filter(F.col("batch_id") < F.lit(batch_id)).select(*key)
+            hits = keys_present(earlier, firsts, key)
+            firsts = firsts.join(hits, key, "left_anti")
         firsts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return upsert

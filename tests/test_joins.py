@@ -30,3 +30,12 @@ def test_within_bounds_one_job(spark):
     b = spark.range(0, 500)
     got = within_bounds({"a": (a, 10), "b": (b, 10), "empty": (spark.range(0), 0)})
     assert got == {"a": True, "b": False, "empty": True}
+
+
+def test_keys_present_filters_big_side_by_broadcast(spark):
+    from skyframe.operators.joins import keys_present
+    big = spark.range(0, 10_000).selectExpr("id % 100 AS k", "id AS v")
+    small = spark.createDataFrame([(3,), (7,), (7,)], "k long")
+    out = keys_present(big, small, ["k"], max_rows=10)
+    assert sorted({r.k for r in out.collect()}) == [3, 7] and out.count() == 200
+    assert "BroadcastHashJoin" in plan_text(out, "simple")
