@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.scalars import leading_token
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, keys_present
 from .ranking import first_per_key, next_in_group
 
 RECORD_FIELDS = ["year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi", "aqi_type"]
@@ -74,7 +74,11 @@ def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order
     bk = incoming.groupBy(*batch, *key).agg(
         F.count(F.lit(1)).alias("_n"), F.min(bpos).alias("_bpos"))
     first = bk.groupBy(*key).agg(F.min("_bpos").alias("_first"))
-    tkeys = target.select(*key).distinct().withColumn("_in_target", F.lit(True))
+    # stored keys that occur in this call: the incoming keys (when within the
+    # broadcast bound) filter the stored table map-side, so the store is
+    # scanned, not shuffled; only the hits are de-duplicated
+    tkeys = (keys_present(target.select(*key), incoming, key).distinct()
+             .withColumn("_in_target", F.lit(True)))
     pairs = bk.join(first, key).join(tkeys, key, "left")
     bad_pairs = pairs.filter((F.col("_n") > 1) | (F.col("_bpos") != F.col("_first"))
                              | F.col("_in_target").isNotNull())
@@ -101,8 +105,8 @@ def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_ord
     if mode == "first_wins":
         rows = incoming if status_col is None else incoming.filter(F.col(status_col) != "bad")
         firsts = first_per_key(rows, key, order)
-        accepted = (firsts.join(target.select(*key).distinct(), list(key), "left_anti")
-                    .select(*incoming.columns))
+        stored = keys_present(target.select(*key), firsts, key)
+        accepted = firsts.join(stored, list(key), "left_anti").select(*incoming.columns)
         rejected = incoming.exceptAll(accepted)
         return accepted, rejected
     raise ValueError("mode must be 'atomic' or 'first_wins'")
