@@ -15,8 +15,9 @@ work.  These helpers avoid per-key windows:
   come from the same data (two plans over one range exchange would sample
   their bounds separately) and a lost executor does not re-run the sort.
 * ``next_in_group`` — the next row of the same group in order (``lead``):
-  rows ranked as above, then joined to rank + 1, an equi-join on a unique,
-  evenly spread key.
+  rows range-partitioned and numbered as above; ``lead`` within each task
+  (tasks are balanced by the range split) and, for each task's last row,
+  the first row of the next non-empty task (one row per task, broadcast).
 """
 
 from __future__ import annotations
@@ -46,15 +47,9 @@ def global_rank(df: DataFrame, order, name: str = "rank", num_partitions: int |
     """Add a 1-based row number over ``order`` (ascending, NULLs last for
     names; pass Columns for other directions).  ``order`` should be unique
     per row for a deterministic result."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [_sort_col(c) for c in order]
-    numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = materialize(numbered)
+    numbered = _range_numbered(df, order, num_partitions)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by n, safe to broadcast
+    # one row per partition: bounded by the partition count, safe to broadcast
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
@@ -65,21 +60,49 @@ def global_rank(df: DataFrame, order, name: str = "rank", num_partitions: int |
             .drop("_pid", "_mid", "_off"))
 
 
-def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_") -> DataFrame:
+def _range_numbered(df: DataFrame, order, num_partitions: int | None = None) -> DataFrame:
+    """Range-partitioned, sorted rows with their partition id and in-partition
+    id, checkpointed (see the module notes)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [_sort_col(c) for c in order]
+    return materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+
+
+def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_",
+                  num_partitions: int | None = None) -> DataFrame:
     """Add ``prefix + v`` for each value column: the value of the next row of
     the same group in ``order`` (NULL on a group's last row), plus
-    ``prefix + 'exists'``."""
+    ``prefix + 'exists'``.
+
+    The rows are range-partitioned and sorted on (group, order); the next
+    row is the next one in the same task, except for each task's last row,
+    whose next row is the first row of the next non-empty task.  Those
+    first rows (one per task, a bound fixed by the partition count) are
+    broadcast.  No per-group window: a group spanning many tasks is handled
+    like any other.
+    """
     group, values = list(group), list(values)
-    ranked = global_rank(df, group + list(order), name="_rk")
-    nxt = ranked.select(
-        (F.col("_rk") - 1).alias("_rk"),
-        F.lit(True).alias("_nx"),
-        *[F.col(g).alias(f"_ng_{g}") for g in group],
-        *[F.col(v).alias(f"_nv_{v}") for v in values])
-    j = ranked.join(nxt, "_rk", "left")
-    same = F.col("_nx").isNotNull()
+    carried = group + values
+    numbered = _range_numbered(df, group + list(order), num_partitions)
+    in_task = Window.partitionBy("_pid").orderBy("_mid")
+    local = numbered.select(
+        "*", *[F.lead(c).over(in_task).alias(f"_n_{c}") for c in carried],
+        F.lead(F.lit(True)).over(in_task).alias("_nx"))
+    local_index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    heads = numbered.filter(local_index == 0).select("_pid", *carried)
+    by_task = Window.orderBy("_pid")
+    next_head = heads.select(
+        "_pid", *[F.lead(c).over(by_task).alias(f"_h_{c}") for c in carried],
+        F.lead(F.lit(True)).over(by_task).alias("_hx"))
+    j = local.join(F.broadcast(next_head), "_pid", "left")
+    last = F.col("_nx").isNull()
+    j = j.withColumns({**{f"_n_{c}": F.when(last, F.col(f"_h_{c}")).otherwise(F.col(f"_n_{c}")) for c in carried},
+                       "_nx": F.when(last, F.col("_hx")).otherwise(F.col("_nx"))})
+    same = F.coalesce(F.col("_nx"), F.lit(False))
     for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_ng_{g}"))
-    out = j.withColumns({f"{prefix}{v}": F.when(same, F.col(f"_nv_{v}")) for v in values})
-    out = out.withColumn(f"{prefix}exists", F.coalesce(same, F.lit(False)))
-    return out.drop("_rk", "_nx", *[f"_ng_{g}" for g in group], *[f"_nv_{v}" for v in values])
+        same = same & F.col(g).eqNullSafe(F.col(f"_n_{g}"))
+    out = j.withColumns({f"{prefix}{v}": F.when(same, F.col(f"_n_{v}")) for v in values})
+    out = out.withColumn(f"{prefix}exists", same)
+    return out.select(*df.columns, *[f"{prefix}{v}" for v in values], f"{prefix}exists")

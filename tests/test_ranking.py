@@ -49,3 +49,13 @@ def test_first_per_key_matches_brute_force(spark):
     pdf = df.toPandas().sort_values(["k", "t", "id"]).groupby("k").head(1)
     want = sorted((int(a), int(b), int(c), d) for a, b, c, d in pdf[["id", "k", "t", "s"]].itertuples(index=False))
     assert got == want
+
+
+def test_lead_across_empty_tasks(spark):
+    rows = [(1, "a", 1, "x"), (2, "a", 2, "y"), (3, "a", 3, "z"), (4, "b", 1, "u"), (5, "b", 2, "v")]
+    df = spark.createDataFrame(rows, "id long, k string, t long, s string")
+    for n in (1, 3, 8, 16):
+        got = {r.id: (r.next_s, r.next_exists) for r in next_in_group(df, ["k"], ["t"], ["s"], num_partitions=n).collect()}
+        assert got == {1: ("y", True), 2: ("z", True), 3: (None, False), 4: ("v", True), 5: (None, False)}, n
+        ranks = {r.id: r.rank for r in global_rank(df, ["k", "t"], num_partitions=n).collect()}
+        assert ranks == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5}, n
