@@ -126,7 +126,8 @@ _RANK_ORDER = ["district", "year_mon_day", *ROW_ID, *TIE_BREAK]
 @register("sorted_rank", WITH_DWD + f"\nSELECT {DWD_COLS}, row_number() OVER "
           f"(ORDER BY {', '.join(_RANK_ORDER)}) AS row_rank FROM dwd")
 def q_sorted_rank(spark, sf):
-    return global_rank(fresh_dwd(spark, sf), _RANK_ORDER, name="row_rank")
+    # C6 orders the cleaned rows: rank the stored DWD table
+    return global_rank(dwd(spark, sf), _RANK_ORDER, name="row_rank")
 
 
 # ---------------------------------------------------------------- selections
