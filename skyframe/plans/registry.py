@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources import grid, pages as P, snapshot, staged, tables
 from ..sources.adapter import OBS_SQL, ROW_ID, observations, read_table
 from ..streaming.ingest import ingest_stream
+from . import dashboard
 from .serving import serving_table
 
 ALL_LABELS = ["最高温", "最低温", "天气", "风向", "空气质量指数", "空气质量"]
@@ -537,3 +538,56 @@ def q_stream_ingest(spark, sf):
     schema = read_table(spark, sf, "events").schema
     return ingest_stream(spark, f"{sf}/events*.parquet", schema, key=["user_id", "event_type"],
                          order=["ts", "event_id"], timeout_s=600)
+
+
+# ------------------------------------------------- dashboard views by grain
+
+@register("trend_day", WITH_DWD + f"\nSELECT year_mon_day, max_t, min_t, {MEAN_T} AS mean_t FROM dwd WHERE false")
+def q_trend_day(spark, sf):
+    # a single day has no trend: the view shows a message, the frame is empty
+    return charts.trend(dwd(spark, sf), "ASIA区", DAY)
+
+
+@register("pie_day", WITH_DWD + f"""
+SELECT weather, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM dwd
+WHERE district = 'AMERICA' AND year_mon_day = '{DAY}' GROUP BY weather""")
+def q_pie_day(spark, sf):
+    return dashboard.pie_panel(dwd(spark, sf), "AMERICA区", DAY)["shares"]
+
+
+@register("parallel_year", WITH_DWD + f"""
+SELECT max_t, min_t, weather, wind, aqi, aqi_type, {_CLASS_POS} AS class_no FROM dwd
+WHERE district = 'ASIA' AND substr(year_mon_day, 1, 4) = '1998' AND aqi_type IS NOT NULL""")
+def q_parallel_year(spark, sf):
+    return dashboard.parallel_panel(dwd(spark, sf), "ASIA区", "1998")["series"]
+
+
+@register("extents_month", WITH_DWD + """
+SELECT max(max_t) AS max_t_hi, min(max_t) AS max_t_lo, max(min_t) AS min_t_hi, min(min_t) AS min_t_lo,
+       max(aqi) AS aqi_hi, min(aqi) AS aqi_lo FROM dwd
+WHERE district = 'AFRICA' AND substr(year_mon_day, 1, 7) = '2000-02'""")
+def q_extents_month(spark, sf):
+    return dashboard.parallel_panel(dwd(spark, sf), "AFRICA区", "2000-02")["extents"]
+
+
+@register("bar_month", WITH_DWD + """
+SELECT weather, round_even(avg(aqi), 2) AS avg_aqi FROM dwd
+WHERE district = 'MIDDLE EAST' AND substr(year_mon_day, 1, 7) = '1999-07' GROUP BY weather""")
+def q_bar_month(spark, sf):
+    return dashboard.bar_panel(dwd(spark, sf), "MIDDLE EAST区", "1999-07")
+
+
+@register("map_month", WITH_DWD + f""",
+m AS ({_MAP_SQL} WHERE substr(year_mon_day, 1, 7) = '1996-02')
+SELECT *, {PIECES_SQL} AS piece, CAST(dense_rank() OVER (ORDER BY year_mon_day) AS INTEGER) AS frame FROM m""")
+def q_map_month(spark, sf):
+    return dashboard.map_panel(dwd(spark, sf), "1996-02")
+
+
+_ORDER_LABELS = ["空气质量", "天气", "空气质量指数", "最低温"]
+
+
+@register("select_label_order", WITH_DWD + f"\nSELECT {_labels_sql(_ORDER_LABELS)} FROM dwd "
+          "WHERE district = 'AFRICA' AND substr(year_mon_day, 1, 4) = '2001'")
+def q_select_label_order(spark, sf):
+    return dashboard.data_table(dwd(spark, sf), "AFRICA区", "2001", _ORDER_LABELS)
