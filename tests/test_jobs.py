@@ -61,3 +61,20 @@ def test_collect_merge_clean_dashboard(spark):
     par = D.parallel_panel(dwd, "昌平区", "")
     assert par["series"].count() == 3 and par["extents"].first().aqi_hi == 60.0
     assert {x.weather: x.avg_aqi for x in D.bar_panel(dwd, "昌平区", "").collect()} == {"晴": 51.0, "多云": 60.0}
+
+
+def test_command_line(spark, tmp_path):
+    from skyframe.__main__ import main
+    p1 = _page("60198", 2016, 1, [("2016-01-01", "周五", 5, -6, "晴", "西北风3级", "42 优")])
+    p2 = _page("60198", 2017, 1, [("2017-01-01", "周日", 3, -8, "多云", "东风1级", "-")])
+    pages = str(tmp_path / "pages")
+    spark.createDataFrame([p1, p2], "url string, html string").write.parquet(pages)
+    db = ensure_database(spark, "skyframe_cli")
+    assert main(["collect", "--pages", pages, "--table", f"{db}.obs", "--path", str(tmp_path / "obs"),
+                 "--rejected", str(tmp_path / "rej")]) == 0
+    assert main(["clean", "--ods", f"{db}.obs", "--dwd", f"{db}.dwd", "--path", str(tmp_path / "dwd")]) == 0
+    out = str(tmp_path / "view")
+    assert main(["view", "--dwd", f"{db}.dwd", "--view", "table", "--place", "昌平区", "--period", "2017",
+                 "--labels", "空气质量指数", "空气质量", "--out", out]) == 0
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(42.0, "优")]
+    assert main(["view", "--dwd", f"{db}.dwd", "--view", "bar", "--place", "昌平区", "--show", "5"]) == 0
