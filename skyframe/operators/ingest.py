@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.scalars import leading_token
 from .joins import bounded_broadcast, keys_present
-from .ranking import first_per_key, next_in_group
+from .ranking import first_per_key, next_in_group, replicate
 
 RECORD_FIELDS = ["year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi", "aqi_type"]
 
@@ -107,11 +107,23 @@ def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_ord
         firsts = first_per_key(rows, key, order)
         stored = keys_present(target.select(*key), firsts, key)
         accepted = firsts.join(stored, list(key), "left_anti").select(*incoming.columns)
-        rejected = incoming.exceptAll(accepted)
-        return accepted, rejected
+        return accepted, _minus_one_copy(incoming, accepted)
     raise ValueError("mode must be 'atomic' or 'first_wins'")
 
 
+def _minus_one_copy(incoming: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Incoming rows minus one copy of each accepted row (multiset
+    difference).  Identical rows are counted by an aggregate (combined
+    map-side); the remaining copies are re-expanded in spread chunks."""
+    cols = incoming.columns
+    counted = incoming.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    taken = accepted.select(*[F.col(c).alias(f"_a_{c}") for c in cols]).withColumn("_t", F.lit(1))
+    cond = [counted[c].eqNullSafe(taken[f"_a_{c}"]) for c in cols]
+    left = counted.join(taken, cond, "left")
+    left = left.select(*cols, (F.col("_c") - F.coalesce(F.col("_t"), F.lit(0))).alias("_r"))
+    return replicate(left, "_r")
+
+
 def dead_letter(attempts: DataFrame, key, order, status: str = "status",
                 fail_value: str = "error") -> DataFrame:
     """Failed attempts whose one retry (the next attempt of the same key

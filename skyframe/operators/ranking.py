@@ -106,3 +106,16 @@ def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_",
     out = j.withColumns({f"{prefix}{v}": F.when(same, F.col(f"_n_{v}")) for v in values})
     out = out.withColumn(f"{prefix}exists", same)
     return out.select(*df.columns, *[f"{prefix}{v}" for v in values], f"{prefix}exists")
+
+
+def replicate(df: DataFrame, count_col: str, chunk: int = 100_000) -> DataFrame:
+    """Each row ``count_col`` times (the column is dropped).  Large counts are
+    first cut into chunks, which are spread over tasks by hash before they
+    are expanded, so one row with a huge count is not expanded by one task."""
+    cols = [c for c in df.columns if c != count_col]
+    n = F.col(count_col)
+    chunks = df.filter(n > 0).select(
+        *cols, n.alias("_n"), F.explode(F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("long"))).alias("_chunk"))
+    spread = chunks.repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
+    size = F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_chunk") * F.lit(chunk))
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_i")).drop("_i")
