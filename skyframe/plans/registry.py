@@ -9,13 +9,14 @@ customer, supplier and documents.  Every query reads whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.scalars import leading_token, url_param
+from ..functions.scalars import domain_ordinal, leading_token, url_param
 from ..operators import charts, clean as C, ingest, query as Q
 from ..operators.ranking import global_rank
 from ..session import scratch_path
@@ -290,7 +291,6 @@ def q_class_pivot(spark, sf):
           "wind, CAST(NULLIF(list_position(" + "[" + ", ".join(f"'{w}'" for w in fixed.WIND_DOMAIN) + "]"
           ", wind), 0) AS INTEGER) AS wind_no FROM dwd")
 def q_domain_ordinal(spark, sf):
-    from ..functions.scalars import domain_ordinal
     d = dwd(spark, sf)
     return d.select(*ROW_ID, "aqi_type", domain_ordinal("aqi_type", fixed.AQI_CLASSES).alias("class_no"),
                     "wind", domain_ordinal("wind", fixed.WIND_DOMAIN).alias("wind_no"))
@@ -516,7 +516,6 @@ def q_stage_sanitize(spark, sf):
 
 @register("table_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def q_table_roundtrip(spark, sf):
-    import uuid
     db = tables.ensure_database(spark, "skyframe_scratch", location=scratch_path(spark, "db-scratch"))
     name = f"{db}.supplier_{uuid.uuid4().hex[:8]}"
     sup = read_table(spark, sf, "supplier")
