@@ -2,6 +2,7 @@
 
     python -m skyframe collect --pages PATH --table NAME [--mode atomic|first_wins]
     python -m skyframe merge --tables A B ... --table NAME [--tag 地区]
+    python -m skyframe stage --source NAME --ods NAME --path PATH
     python -m skyframe clean --ods NAME --dwd NAME
     python -m skyframe view --dwd NAME --view table|trend|map|pie|parallel|bar
                             [--place 朝阳区] [--period 2016-01] [--labels 最高温 天气]
@@ -60,6 +61,10 @@ def main(argv=None) -> int:
     m.add_argument("--table", required=True)
     m.add_argument("--tag", default="地区")
     m.add_argument("--path")
+    st = sub.add_parser("stage", help="source table -> staged delimited-text ODS table (full refresh)")
+    st.add_argument("--source", required=True)
+    st.add_argument("--ods", required=True)
+    st.add_argument("--path", required=True)
     k = sub.add_parser("clean", help="ODS table -> cleaned DWD table")
     k.add_argument("--ods", required=True)
     k.add_argument("--dwd", required=True)
@@ -84,6 +89,8 @@ def main(argv=None) -> int:
             rejected.write.mode("overwrite").parquet(args.rejected)
     elif args.cmd == "merge":
         jobs.merge_job(spark, args.tables, args.table, tag_col=args.tag, path=args.path)
+    elif args.cmd == "stage":
+        jobs.stage_job(spark, spark.table(args.source), args.path, args.ods)
     elif args.cmd == "clean":
         jobs.load_clean_job(spark, args.ods, args.dwd, path=args.path)
     else:

@@ -3,6 +3,8 @@
 * ``collect_job`` — landed pages -> records -> rows accepted batch-atomically
   into the observation table (append), rejected rows returned.
 * ``merge_job`` — tagged union of per-district tables into one table.
+* ``stage_job`` — any source frame (e.g. ``read_jdbc``) -> sanitised
+  delimited text, full refresh, with an ODS table over it.
 * ``load_clean_job`` — staged ODS table -> cleaned DWD table, partitioned by
   district and range-sorted by date.
 
@@ -18,6 +20,7 @@ from ..operators.clean import clean
 from ..operators.ingest import ingest_pages, union_catalog
 from ..operators.joins import materialize
 from ..schema import ODS
+from ..sources.staged import NULL, SEP, stage_text
 from ..sources.tables import quote_ident, write_table
 
 
@@ -54,3 +57,18 @@ def load_clean_job(spark: SparkSession, ods_table: str, dwd_table: str, keep=(),
     dwd = clean(spark.table(quote_ident(ods_table)), keep=keep)
     return write_table(dwd, dwd_table, mode="overwrite", partition_by=("district",),
                        sort_within=("year_mon_day",), path=path)
+
+
+def stage_job(spark: SparkSession, source: DataFrame, path: str, table: str,
+              sep: str = SEP, null: str = NULL) -> str:
+    """Full-refresh staging: the source rows (ODS columns, cast to text) are
+    written as sanitised delimited text at ``path`` (overwrite) and ``table``
+    is (re)created as an external text table over it with the ODS schema."""
+    from pyspark.sql import functions as F
+
+    rows = source.select(*[F.col(f.name).cast("string").alias(f.name) for f in ODS.fields])
+    stage_text(rows, path, sep=sep, null=null, mode="overwrite")
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(table)}")
+    spark.catalog.createTable(table, path=path, source="csv", schema=ODS,
+                              sep=sep, nullValue=null, quote='"', escape='"', header="false")
+    return table

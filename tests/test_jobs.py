@@ -78,3 +78,20 @@ def test_command_line(spark, tmp_path):
                  "--labels", "空气质量指数", "空气质量", "--out", out]) == 0
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(42.0, "优")]
     assert main(["view", "--dwd", f"{db}.dwd", "--view", "bar", "--place", "昌平区", "--show", "5"]) == 0
+
+
+def test_stage_then_clean(spark, tmp_path):
+    from skyframe.plans.jobs import stage_job
+    from skyframe.schema import ODS
+    rows = [("朝阳", "2016-01-01", "周五", "5°", "-6°", "晴\n", "西北风", "42", "优"),
+            ("朝阳", "2017-01-01", "周日", "3°", "-5°", "霾", "无", "43", None),
+            ("朝阳", "2018-01-01", "周一", "4°", "-6°", "晴", "北风", "", "")]
+    src = spark.createDataFrame(rows, ODS)
+    db = ensure_database(spark, "skyframe_stage")
+    stage_job(spark, src, str(tmp_path / "ods"), f"{db}.ods")
+    stage_job(spark, src, str(tmp_path / "ods"), f"{db}.ods")          # full refresh: no doubling
+    ods = spark.table(f"{db}.ods")
+    assert ods.count() == 3 and ods.filter("weather = '晴'").count() == 2
+    load_clean_job(spark, f"{db}.ods", f"{db}.dwd2", path=str(tmp_path / "dwd"))
+    got = {r.year_mon_day: r.aqi for r in spark.table(f"{db}.dwd2").collect()}
+    assert got == {"2016-01-01": 42.0, "2017-01-01": 43.0, "2018-01-01": 42.0}
