@@ -204,7 +204,8 @@ def write_dead_letters(dead: DataFrame, path: str, col: str = "url") -> str:
 
 
 def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None = None,
-                 url_col: str = "url", html_col: str = "html", mode: str = "atomic"):
+                 url_col: str = "url", html_col: str = "html", mode: str = "atomic",
+                 marked: bool = False):
     """S1-S10 composed: landed pages -> ODS rows accepted into ``target``.
 
     Each page is one batch (one area-month).  Its area id comes from the URL,
@@ -212,7 +213,9 @@ def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None =
     page with a bad record, an unknown area, a date repeated inside it, a
     date already in ``target`` or held by an earlier page (by year, month)
     is rejected whole (``mode='atomic'``), or rows are taken first-wins
-    (``mode='first_wins'``).  Returns (accepted ODS rows, rejected rows).
+    (``mode='first_wins'``).  Returns (accepted ODS rows, rejected rows);
+    with ``marked=True`` (atomic mode) one frame of all rows with a boolean
+    ``accepted`` column instead, so a caller can materialise it once.
     """
     from ..functions.scalars import url_param
     from ..schema import OBS_COLUMNS
@@ -228,6 +231,11 @@ def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None =
     rows = lookup(keyed, dim, "_area", "_area_id")
     rows = rows.withColumn("status", F.when(F.col("district").isNull(), F.lit("bad")).otherwise(F.col("status")))
     key = ["district", "year_mon_day"]
+    if marked:
+        if mode != "atomic":
+            raise ValueError("marked output is for mode='atomic'")
+        return mark_batches(target, rows, batch=[url_col], key=key, batch_order=["_year", "_month"],
+                            status_col="status").drop("_area", "_area_id", "_year", "_month")
     if mode == "atomic":
         acc, rej = insert_batches(target, rows, batch=[url_col], key=key, batch_order=["_year", "_month"],
                                   status_col="status")

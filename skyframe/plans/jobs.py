@@ -36,10 +36,15 @@ def collect_job(spark: SparkSession, pages: DataFrame, target: str, mode: str =
     holds; returns the rejected rows (checkpointed, so they stay those of
     this run)."""
     stored = _table_or_empty(spark, target, ODS)
-    accepted, rejected = ingest_pages(pages, stored, mode=mode)
     # both sides are decided against the target as it is now: checkpoint
-    # them before the append changes it
-    landed, rejected = materialize(accepted), materialize(rejected)
+    # them before the append changes it (atomic: one marked pass)
+    if mode == "atomic":
+        m = materialize(ingest_pages(pages, stored, mode=mode, marked=True))
+        landed = m.filter("accepted").select(*ODS.fieldNames())
+        rejected = m.filter("NOT accepted").drop("accepted")
+    else:
+        accepted, rejected = ingest_pages(pages, stored, mode=mode)
+        landed, rejected = materialize(accepted), materialize(rejected)
     write_table(landed, target, mode="append", partition_by=("district",), sort_within=("year_mon_day",),
                 path=path)
     return rejected

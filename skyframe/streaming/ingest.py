@@ -87,9 +87,14 @@ def make_page_upsert(target: str, rejected: str, mode: str = "atomic"):
         stored = _stored(spark, target)
         earlier = (stored.filter(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
                    if stored is not None else spark.createDataFrame([], ODS))
-        acc, rej = ingest_pages(batch, earlier, mode=mode)
         # decide both sides before writing either (they read the same state)
-        acc, rej = materialize(acc), materialize(rej)
+        if mode == "atomic":
+            m = materialize(ingest_pages(batch, earlier, mode=mode, marked=True))
+            acc = m.filter("accepted").select(*ODS.fieldNames())
+            rej = m.filter("NOT accepted").drop("accepted")
+        else:
+            acc, rej = ingest_pages(batch, earlier, mode=mode)
+            acc, rej = materialize(acc), materialize(rej)
         acc.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         rej.write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
 
