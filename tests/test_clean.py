@@ -111,3 +111,25 @@ def test_group_means_are_broadcast(spark):
     from plan_text import plan_text
     plan = plan_text(C.clean(ods(spark)))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_gap_filling_same_beyond_broadcast_bound(spark, sf_dir):
+    from plan_text import plan_text
+    from skyframe.plans.registry import ods
+    staged = C.cast_aqi(ods(spark, sf_dir))
+    small = C.impute_group_mean(staged)
+    cols = ["l_orderkey", "l_linenumber", "district", "year_mon_day", "aqi"]
+    a = sorted(map(tuple, small.select(*cols).collect()), key=str)
+    # beyond the bound no hint is given; with Spark's own threshold off too,
+    # the join is a shuffle join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = C.impute_group_mean(staged, max_broadcast_rows=1)
+        plan = plan_text(big, "simple")
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        b = sorted(map(tuple, big.select(*cols).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert a == b
