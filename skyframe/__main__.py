@@ -47,6 +47,7 @@ def _view(spark, args):
 
 
 def main(argv=None) -> int:
+    """Parse the command line and run one job or view."""
     p = argparse.ArgumentParser(prog="skyframe")
     sub = p.add_subparsers(dest="cmd", required=True)
     c = sub.add_parser("collect", help="landed pages -> observation table (append)")

@@ -128,6 +128,7 @@ def check_period(period: str | None) -> str:
 
 
 def period_grain(period: str | None) -> str:
+    """'all', 'year', 'month' or 'day' for a valid period text."""
     p = check_period(period)
     return {0: "all", 4: "year", 7: "month", 10: "day"}[len(p)]
 

@@ -53,6 +53,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Checkpoint a derived frame, count it, and hint it for broadcast only
+    when it has at most ``max_rows`` rows."""
     m = materialize(df)
     n = m.count()
     return F.broadcast(m) if n <= max_rows else m

@@ -49,6 +49,7 @@ def in_period(df: DataFrame, period: str | None, col: str = "year_mon_day") -> D
 
 
 def scope(df: DataFrame, place: str | None = None, period: str | None = "") -> DataFrame:
+    """Rows of a place (None: all places) within a period."""
     return in_period(in_district(df, place), period)
 
 

@@ -34,6 +34,7 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None):
+    """Record a query under ``name`` with its DuckDB oracle SQL."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -484,6 +485,7 @@ _RULES_SQL = """
 
 
 def validity_rules():
+    """Rules of the ``split_valid`` query (name -> condition a valid row meets)."""
     tmax = F.replace(F.col("max_t"), F.lit("°"), F.lit("")).try_cast("int")
     tmin = F.replace(F.col("min_t"), F.lit("°"), F.lit("")).try_cast("int")
     aqi = F.col("aqi").try_cast("double")

@@ -27,6 +27,8 @@ _LOCK = threading.RLock()  # builds nest (DWD build reads the ODS table)
 
 def serving_table(spark: SparkSession, key: str, build: Callable[[], DataFrame],
                   partition_by=("district",), sort_by=("year_mon_day",), refresh: bool = False) -> DataFrame:
+    """The table ``key`` of this application: built by ``build`` and written
+    on first use (or when ``refresh``), then read back from storage."""
     k = (spark.sparkContext.applicationId, key)
     with _LOCK:
         hit = _SERVED.get(k)

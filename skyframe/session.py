@@ -77,4 +77,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def sf_path(sf_dir: str, table: str) -> str:
+    """Path of a test table in a scale-factor folder."""
     return os.path.join(sf_dir, f"{table}.parquet")

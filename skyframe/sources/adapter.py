@@ -42,6 +42,7 @@ def spread(df: DataFrame, keys) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_on=None) -> DataFrame:
+    """Scan a test table; with ``spread_on`` keys, spread an under-split scan."""
     df = spark.read.parquet(sf_path(sf_dir, name))
     return spread(df, spread_on) if spread_on else df
 

@@ -15,6 +15,8 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
               num_partitions: int | None = None, fetch_size: int = 10_000,
               properties: dict | None = None) -> DataFrame:
+    """Read a query or a table; partitioned when a partition column, bounds
+    and a partition count are given."""
     if (query is None) == (table is None):
         raise ValueError("give exactly one of query or table")
     r = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size)

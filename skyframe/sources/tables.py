@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 
 def quote_ident(name: str) -> str:
+    """Back-quote each part of a (possibly qualified, non-ASCII) name."""
     return ".".join(f"`{p.replace('`', '``')}`" for p in name.split("."))
 
 

@@ -29,6 +29,8 @@ def _stored(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def make_upsert(target: str, key, order):
+    """foreachBatch body: first row per key, minus keys stored by earlier
+    batches, written to the batch's own folder."""
     key, order = list(key), list(order)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
