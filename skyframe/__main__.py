@@ -4,6 +4,7 @@
     python -m skyframe merge --tables A B ... --table NAME [--tag 地区]
     python -m skyframe stage --source NAME --ods NAME --path PATH
     python -m skyframe clean --ods NAME --dwd NAME
+    python -m skyframe deadletters --attempts NAME --out PATH [--status-col status] [--fail 403]
     python -m skyframe view --dwd NAME --view table|trend|map|pie|parallel|bar
                             [--place 朝阳区] [--period 2016-01] [--labels 最高温 天气]
                             [--out PATH] [--show N]
@@ -70,6 +71,13 @@ def main(argv=None) -> int:
     k.add_argument("--ods", required=True)
     k.add_argument("--dwd", required=True)
     k.add_argument("--path")
+    dl = sub.add_parser("deadletters", help="append targets whose one retry failed too (or never came) to text")
+    dl.add_argument("--attempts", required=True, help="table of fetch attempts (url, ts, status)")
+    dl.add_argument("--out", required=True)
+    dl.add_argument("--url-col", default="url")
+    dl.add_argument("--ts-col", default="ts")
+    dl.add_argument("--status-col", default="status")
+    dl.add_argument("--fail", default="403")
     v = sub.add_parser("view", help="one dashboard view of the cleaned table")
     v.add_argument("--dwd", required=True)
     v.add_argument("--view", required=True, choices=["table", "trend", "map", "pie", "parallel", "bar"])
@@ -94,6 +102,11 @@ def main(argv=None) -> int:
         jobs.stage_job(spark, spark.table(args.source), args.path, args.ods)
     elif args.cmd == "clean":
         jobs.load_clean_job(spark, args.ods, args.dwd, path=args.path)
+    elif args.cmd == "deadletters":
+        from .operators.ingest import dead_letter, write_dead_letters
+        attempts = spark.table(args.attempts).withColumn(args.status_col, spark.table(args.attempts)[args.status_col].cast("string"))
+        dead = dead_letter(attempts, [args.url_col], [args.ts_col], status=args.status_col, fail_value=args.fail)
+        write_dead_letters(dead, args.out, col=args.url_col)
     else:
         df = _view(spark, args)
         if args.out:

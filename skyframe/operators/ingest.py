@@ -198,8 +198,9 @@ def missing_targets(grid: DataFrame, stored: DataFrame, keys) -> DataFrame:
 
 
 def write_dead_letters(dead: DataFrame, path: str, col: str = "url") -> str:
-    """S8 sink: append the failed targets, one per line, to a text folder."""
-    dead.select(F.col(col).cast("string")).write.mode("append").text(path)
+    """S8 sink: append the failed targets, each once, one per line, to a
+    text folder."""
+    dead.select(F.col(col).cast("string")).distinct().write.mode("append").text(path)
     return path
 
 

@@ -95,3 +95,15 @@ def test_stage_then_clean(spark, tmp_path):
     load_clean_job(spark, f"{db}.ods", f"{db}.dwd2", path=str(tmp_path / "dwd"))
     got = {r.year_mon_day: r.aqi for r in spark.table(f"{db}.dwd2").collect()}
     assert got == {"2016-01-01": 42.0, "2017-01-01": 43.0, "2018-01-01": 42.0}
+
+
+def test_dead_letters_command(spark, tmp_path):
+    from skyframe.__main__ import main
+    rows = [("u1", 1, 403), ("u1", 2, 200),          # retried fine
+            ("u2", 1, 403), ("u2", 2, 403),          # retry failed
+            ("u3", 1, 403),                          # never retried
+            ("u4", 1, 500)]                          # other errors are not retried
+    spark.createDataFrame(rows, "url string, ts int, status int").createOrReplaceTempView("attempts_t")
+    out = str(tmp_path / "dead")
+    assert main(["deadletters", "--attempts", "attempts_t", "--out", out]) == 0
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["u2", "u3"]

@@ -80,10 +80,10 @@ def test_ingest_pages_batch_atomic(spark):
 
 def test_dead_letter_text_sink(spark, tmp_path):
     from skyframe.operators.ingest import write_dead_letters
-    df = spark.createDataFrame([("http://a",), ("http://b",)], "url string")
+    df = spark.createDataFrame([("http://a",), ("http://b",), ("http://b",)], "url string")
     path = str(tmp_path / "dead")
     write_dead_letters(df, path)
-    write_dead_letters(df.limit(1), path)
+    write_dead_letters(df.limit(1), path)      # appends
     assert spark.read.text(path).count() == 3
 
 
