@@ -30,12 +30,15 @@ def cast_aqi(df: DataFrame, col: str = "aqi") -> DataFrame:
 
 
 def impute_group_mean(df: DataFrame, col: str = "aqi", keys: dict[str, Column] | None = None,
-                      digits: int = 0, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      digits: int = 0, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                      report: dict | None = None) -> DataFrame:
     """C3+C4: NULL := mean of the non-null values of its group, then the whole
     column is rounded half-to-even to ``digits``.  A group without any value
     stays NULL.  Rows whose key is NULL keep their own (rounded) value.
 
     ``keys`` maps key names to expressions; default (district, 'MM-DD').
+    ``report``, if given, receives ``means_broadcast``: whether the means were
+    broadcast (then the result keeps the input's partitioning and order).
     """
     if keys is None:
         keys = {"district": F.col("district"), "_md": month_day("year_mon_day")}
@@ -43,7 +46,7 @@ def impute_group_mean(df: DataFrame, col: str = "aqi", keys: dict[str, Column] |
     keyed = df.withColumns(tmp) if tmp else df
     names = list(keys)
     means = keyed.groupBy(*names).agg(F.avg(col).alias("_group_mean"))
-    means = materialize_small(means, max_broadcast_rows)
+    means = materialize_small(means, max_broadcast_rows, report)
     joined = keyed.join(means, on=names, how="left")
     out = joined.withColumn(col, F.bround(F.coalesce(F.col(col), F.col("_group_mean")), digits))
     return out.drop("_group_mean", *tmp.keys())
@@ -66,11 +69,13 @@ def to_dwd(df: DataFrame, keep=()) -> DataFrame:
 
 
 def clean(ods: DataFrame, keep=(), sort: bool = False, on_null: str = "fail",
-          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The composed ODS -> DWD job."""
+          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, report: dict | None = None) -> DataFrame:
+    """The composed ODS -> DWD job.  With ``report`` see
+    ``impute_group_mean``: when the means are broadcast the whole job is
+    narrow (row-wise expressions and a broadcast join)."""
     df = cast_temperatures(ods, on_null=on_null)
     df = cast_aqi(df)
-    df = impute_group_mean(df, max_broadcast_rows=max_broadcast_rows)
+    df = impute_group_mean(df, max_broadcast_rows=max_broadcast_rows, report=report)
     df = classify_aqi(df)
     df = to_dwd(df, keep=keep)
     return sort_obs(df) if sort else df

@@ -52,12 +52,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      report: dict | None = None) -> DataFrame:
     """Checkpoint a derived frame, count it, and hint it for broadcast only
-    when it has at most ``max_rows`` rows."""
+    when it has at most ``max_rows`` rows (``report['means_broadcast']``
+    records the decision when a dict is given)."""
     m = materialize(df)
-    n = m.count()
-    return F.broadcast(m) if n <= max_rows else m
+    small = m.count() <= max_rows
+    if report is not None:
+        report["means_broadcast"] = small
+    return F.broadcast(m) if small else m
 
 
 def keys_present(big: DataFrame, small: DataFrame, keys, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

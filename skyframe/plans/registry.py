@@ -55,8 +55,13 @@ def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dwd(spark: SparkSession, sf: str) -> DataFrame:
-    """The cleaned table as dashboards read it: built once per application."""
-    return serving_table(spark, f"dwd:{sf}", lambda: fresh_dwd(spark, sf))
+    """The cleaned table as dashboards read it: built once per application.
+    When the group means are broadcast the clean is narrow, so the rows keep
+    the staged table's (district, date) layout and are written without a
+    second range shuffle."""
+    info: dict = {}
+    return serving_table(spark, f"dwd:{sf}", lambda: C.clean(ods(spark, sf), keep=ROW_ID, report=info),
+                         keep_layout=lambda: bool(info.get("means_broadcast")))
 
 
 # ---------------------------------------------------------------- oracle CTEs

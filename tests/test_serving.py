@@ -23,3 +23,14 @@ def test_built_once_and_refreshed(spark):
     assert len(calls) == 2
     plan = plan_text(a.filter("district = '001'"))
     assert "PartitionFilters" in plan and "001" in plan
+
+
+def test_keep_layout_skips_the_range_shuffle(spark):
+    from plan_text import plan_text
+    import glob
+    src = spark.createDataFrame([("a", "2016-01-02"), ("a", "2016-01-01"), ("b", "2016-01-01")],
+                                "district string, year_mon_day string")
+    kept = serving.serving_table(spark, "t-keep", lambda: src, keep_layout=lambda: True)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, src.collect()))
+    path = serving._SERVED[(spark.sparkContext.applicationId, "t-keep")][0]
+    assert glob.glob(path.replace("file:", "") + "/district=a/*.parquet")
