@@ -26,7 +26,6 @@ def test_built_once_and_refreshed(spark):
 
 
 def test_keep_layout_skips_the_range_shuffle(spark):
-    from plan_text import plan_text
     import glob
     src = spark.createDataFrame([("a", "2016-01-02"), ("a", "2016-01-01"), ("b", "2016-01-01")],
                                 "district string, year_mon_day string")
