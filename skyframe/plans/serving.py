@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
-_SERVED: dict[tuple[str, str], tuple[str, object, list[str]]] = {}
+_SERVED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 _LOCK = threading.RLock()  # builds nest (DWD build reads the ODS table)
 
 
@@ -45,8 +45,9 @@ def serving_table(spark: SparkSession, key: str, build: Callable[[], DataFrame],
             laid = df if keep else df.repartitionByRange(*partition_by, *sort_by)
             (laid.sortWithinPartitions(*partition_by, *sort_by)
                  .write.mode("error").partitionBy(*partition_by).parquet(path))
-            hit = (path, df.schema, df.columns)
+            # declared schema: partition values are not type-inferred; the
+            # frame (and its file listing) is kept for later queries
+            table = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+            hit = (path, table)
             _SERVED[k] = hit
-    path, schema, columns = hit
-    # declared schema: partition values are not type-inferred
-    return spark.read.schema(schema).parquet(path).select(*columns)
+    return hit[1]
