@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.scalars import leading_token
-from .joins import bounded_broadcast, keys_present
+from .joins import bounded_broadcast, keys_present, materialize
 from .ranking import first_per_key, next_in_group, replicate
 
 RECORD_FIELDS = ["year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi", "aqi_type"]
@@ -231,6 +231,8 @@ def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None =
                  .withColumn("_month", url_param(url_col, "date%5Bmonth%5D").try_cast("int")))
     rows = lookup(keyed, dim, "_area", "_area_id")
     rows = rows.withColumn("status", F.when(F.col("district").isNull(), F.lit("bad")).otherwise(F.col("status")))
+    # the key checks read these rows in several branches: extract once
+    rows = materialize(rows)
     key = ["district", "year_mon_day"]
     if marked:
         if mode != "atomic":
