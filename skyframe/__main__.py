@@ -24,9 +24,15 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
+    """The active session; else, when a master is configured (spark-submit,
+    spark-defaults), a session on it with the submitted settings; else the
+    tuned local session."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    from pyspark import SparkConf
+    if SparkConf().get("spark.master", None):
+        return SparkSession.builder.appName("skyframe").getOrCreate()
     from .session import build_session
     return build_session(master="local[*]")
 
