@@ -18,6 +18,7 @@ run the tuned local session is used.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -30,8 +31,9 @@ def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    from pyspark import SparkConf
-    if SparkConf().get("spark.master", None):
+    submitted = ("PYSPARK_GATEWAY_PORT" in os.environ          # started by spark-submit
+                 or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    if submitted:
         return SparkSession.builder.appName("skyframe").getOrCreate()
     from .session import build_session
     return build_session(master="local[*]")
