@@ -66,6 +66,7 @@ def main(argv=None) -> int:
     c.add_argument("--path")
     c.add_argument("--mode", default="atomic", choices=["atomic", "first_wins"])
     c.add_argument("--rejected", help="folder for the rejected rows (Parquet)")
+    c.add_argument("--buckets", type=int, help="bucket the store by (district, date) into N buckets")
     m = sub.add_parser("merge", help="tagged union of tables")
     m.add_argument("--tables", nargs="+", required=True)
     m.add_argument("--table", required=True)
@@ -101,7 +102,7 @@ def main(argv=None) -> int:
     if args.cmd == "collect":
         from .sources.pages import read_pages
         rejected = jobs.collect_job(spark, read_pages(spark, args.pages, args.format), args.table,
-                                    mode=args.mode, path=args.path)
+                                    mode=args.mode, path=args.path, buckets=args.buckets)
         if args.rejected:
             rejected.write.mode("overwrite").parquet(args.rejected)
     elif args.cmd == "merge":

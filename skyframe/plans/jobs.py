@@ -31,10 +31,12 @@ def _table_or_empty(spark: SparkSession, name: str, schema) -> DataFrame:
 
 
 def collect_job(spark: SparkSession, pages: DataFrame, target: str, mode: str = "atomic",
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, buckets: int | None = None) -> DataFrame:
     """Append the rows of ``pages`` accepted against what ``target`` already
     holds; returns the rejected rows (checkpointed, so they stay those of
-    this run)."""
+    this run).  With ``buckets`` the store is bucketed by its key
+    (district, date) instead of partitioned by district, so a check of a
+    bulk load too large to broadcast does not shuffle the store."""
     stored = _table_or_empty(spark, target, ODS)
     # both sides are decided against the target as it is now: checkpoint
     # them before the append changes it (atomic: one marked pass)
@@ -45,8 +47,12 @@ def collect_job(spark: SparkSession, pages: DataFrame, target: str, mode: str =
     else:
         accepted, rejected = ingest_pages(pages, stored, mode=mode)
         landed, rejected = materialize(accepted), materialize(rejected)
-    write_table(landed, target, mode="append", partition_by=("district",), sort_within=("year_mon_day",),
-                path=path)
+    if buckets:
+        write_table(landed, target, mode="append", path=path,
+                    bucket_by=(buckets, ["district", "year_mon_day"]))
+    else:
+        write_table(landed, target, mode="append", partition_by=("district",), sort_within=("year_mon_day",),
+                    path=path)
     return rejected
 
 

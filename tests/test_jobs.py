@@ -107,3 +107,29 @@ def test_dead_letters_command(spark, tmp_path):
     out = str(tmp_path / "dead")
     assert main(["deadletters", "--attempts", "attempts_t", "--out", out]) == 0
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["u2", "u3"]
+
+
+def test_bucketed_store_check_shuffles_only_incoming(spark):
+    from plan_text import plan_text
+    from skyframe.operators.joins import keys_present
+    db = ensure_database(spark, "skyframe_bucket")
+    pages = spark.createDataFrame([
+        _page("60198", 2016, 1, [("2016-01-01", "周五", 5, -6, "晴", "北风", "42 优")]),
+        _page("71141", 2016, 1, [("2016-01-01", "周五", 6, -5, "霾", "北风", "50 优")])], "url string, html string")
+    store = f"{db}.obs_b"
+    path = scratch_path(spark, "bucket-store")
+    collect_job(spark, pages, store, path=path, buckets=4)
+    again = spark.createDataFrame([
+        _page("60198", 2016, 1, [("2016-01-01", "周五", 5, -6, "晴", "北风", "42 优")]),
+        _page("60198", 2016, 2, [("2016-02-01", "周一", 5, -6, "晴", "北风", "42 优")])], "url string, html string")
+    rejected = collect_job(spark, again, store, path=path, buckets=4)
+    assert spark.table(store).count() == 3 and rejected.select("url").distinct().count() == 1
+    incoming = spark.table(store).select("district", "year_mon_day").limit(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(keys_present(spark.table(store).select("district", "year_mon_day"), incoming,
+                                      ["district", "year_mon_day"], max_rows=0), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1        # the incoming side only
