@@ -53,3 +53,25 @@ def test_first_wins_matches_rules(spark, rows, target_keys):
     got = sorted(r.id for r in acc.collect())
     assert got == brute_first_wins(rows, target_keys)
     assert sorted(got + [r.id for r in rej.collect()]) == list(range(len(rows)))
+
+
+ROWS = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.sampled_from(["a", "b", None])),
+                min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(ROWS, st.integers(1, 9))
+def test_lead_and_rank_match_pandas(spark, rows, parts):
+    import pandas as pd
+    from skyframe.operators.ranking import global_rank, next_in_group
+    data = [(i, k, t, s) for i, (k, t, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k int, t int, s string")
+    pdf = pd.DataFrame(data, columns=["id", "k", "t", "s"]).sort_values(["k", "t", "id"]).reset_index(drop=True)
+    nxt = pdf.groupby("k")["s"].shift(-1)
+    has = pdf.groupby("k")["id"].shift(-1).notna()
+    want = {int(r.id): (None if pd.isna(n) else n, bool(h)) for r, n, h in zip(pdf.itertuples(), nxt, has)}
+    got = {r.id: (r.next_s, r.next_exists)
+           for r in next_in_group(df, ["k"], ["t", "id"], ["s"], num_partitions=parts).collect()}
+    assert got == want
+    ranks = {r.id: r.rank for r in global_rank(df, ["k", "t", "id"], num_partitions=parts).collect()}
+    assert ranks == {int(i): pos + 1 for pos, i in enumerate(pdf.id)}
