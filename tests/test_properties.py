@@ -75,3 +75,19 @@ def test_lead_and_rank_match_pandas(spark, rows, parts):
     assert got == want
     ranks = {r.id: r.rank for r in global_rank(df, ["k", "t", "id"], num_partitions=parts).collect()}
     assert ranks == {int(i): pos + 1 for pos, i in enumerate(pdf.id)}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["x", "y", None])), min_size=1, max_size=25),
+       st.integers(1, 4))
+def test_minus_one_copy_is_multiset_difference(spark, rows, chunk):
+    from collections import Counter
+    from skyframe.operators import ingest
+    from skyframe.operators.ranking import replicate
+    df = spark.createDataFrame(rows, "a int, b string")
+    taken = spark.createDataFrame(sorted(set(rows), key=str)[:2], "a int, b string")
+    got = Counter(map(tuple, ingest._minus_one_copy(df, taken).collect()))
+    want = Counter(rows) - Counter(sorted(set(rows), key=str)[:2])
+    assert got == want
+    counted = spark.createDataFrame([(r, n) for r, n in Counter(rows).items()], "r struct<a:int,b:string>, n long")
+    assert Counter(map(tuple, replicate(counted, "n", chunk=chunk).select("r.a", "r.b").collect())) == Counter(rows)
