@@ -17,3 +17,13 @@ def test_skew_report_runs():
     # the per-key window gives the hot key's third to one task; the range split does not
     assert stages["window_lead"]["max_share"] > 0.3
     assert stages["next_in_group"]["max_share"] < 0.3
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_QUERIES="timeline", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], capture_output=True, text=True,
+                         timeout=600, check=True, env=env).stdout.strip().splitlines()
+    assert len(out) == 1
+    rec = json.loads(out[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(rec) and rec["unit"] == "sec"
+    assert set(rec["queries"]) == {"ods_build", "dwd_build", "timeline"} and rec["sf"] == 0.001
