@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .scratch import landed
+from .scratch import in_arrow, landed
 from .words import U64, distinct, long_lists, mix, pieces, shingles, words
 
 SIDE, WIDTH = 9, 2
@@ -82,7 +82,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives an empty result; columns other than the two named
     are not read."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = landed(rows.mapInArrow(_signatures(k, side, width), "id long, n long, d1 long, d2 long, left array<long>, right array<long>"), "signatures")
+    sig = landed(in_arrow(rows, _signatures(k, side, width), "id long, n long, d1 long, d2 long, left array<long>, right array<long>"), "signatures")
     nodes = landed(sig.filter("n > 0 AND id IS NOT NULL").groupBy("d1", "d2").agg(
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")), "nodes")
 
@@ -93,7 +93,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tables = landed(keys.join(shared, "key"), "tables")
 
     members = tables.select(F.col("node").alias("id")).distinct()
-    sets = landed(rows.join(members, "id", "left_semi").mapInArrow(_sets(k), "id long, members array<long>"), "sets")
+    sets = landed(in_arrow(rows.join(members, "id", "left_semi"), _sets(k), "id long, members array<long>"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that are linked; the wide row travels once per pair, toward its partner."""

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.adapter import read_table
+from .bpe import bpe_decode, bpe_encode
 from .near_dup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +28,11 @@ def register(name: str, sql: str | None = None):
 @register("op6_minhash_near_dup")
 def op6(spark, sf):
     return near_duplicates(read_table(spark, sf, "documents"), k=4, percent=80)
+
+
+@register("op8_bpe")
+def op8(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = bpe_decode(bpe_encode(read_table(spark, sf, "documents"), path), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("text", 256).alias("decoded_sha256"))

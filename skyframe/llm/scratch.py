@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder named by ``spark.checkpoint.dir``.
+"""What every operator needs of the cluster: shared intermediate tables, and this package on the workers.
 
 A written table cuts lineage: a lost executor re-reads it instead of running
 what came before it again.
@@ -6,13 +6,44 @@ what came before it again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+_shipped: set[str] = set()
+
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to a fresh shared path and read back."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that tasks can
+    import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    top = os.path.dirname(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="skyframe-code-"), "skyframe_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), top))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
+def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` of a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
