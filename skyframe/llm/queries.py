@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
 from .near_dup import near_duplicates
+from .toxicity import crc_bucket, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +26,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op5_toxicity")
+def op5(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    scored = toxicity(docs, read_table(spark, sf, "labels"), learn=crc_bucket(F.col("doc_id"), 5) != 0)
+    return scored.select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @register("op6_minhash_near_dup")
 def op6(spark, sf):
     return near_duplicates(read_table(spark, sf, "documents"), k=4, percent=80)
