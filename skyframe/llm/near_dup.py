@@ -7,9 +7,10 @@ of either collection.  So 2 * side * width minhashes serve side**2 tables of
 A pair at likeness s shares a key with probability (1 - (1 - s**width)**side)**2.
 
 Candidates are verified on full shingle sets.  Texts with equal sets are one
-node.  In each table key the members are first compared with two hubs, not
-with each other; members that then still lie in different components are
-compared pairwise, so no candidate that could join two components is skipped.
+node.  In each table key the members are compared with two hubs, not with each
+other; what they share with the hubs then bounds what any two of them share,
+and only members of different components that the bounds allow are compared
+pairwise.  So no candidate that could join two components is skipped.
 """
 
 from __future__ import annotations
@@ -69,6 +70,42 @@ def _sets(k: int):
     return run
 
 
+def _hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(a, b): the hub of every key with each other member of the key."""
+    return members.join(hubs, "key").filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _mixed(tables: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the keys that hold several components."""
+    placed = tables.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
+    return placed.join(several, "key")
+
+
+def _inside(members: DataFrame, hubs: DataFrame, tested: DataFrame, name: str) -> DataFrame:
+    """``members`` with the number of shingles that each shares with the hub of its key."""
+    of_hub = tested.select(F.col("a").alias("hub"), F.col("b").alias("node"), "both")
+    return (members.join(hubs, "key").join(of_hub, ["hub", "node"], "left")
+            .withColumn(name, F.when(F.col("hub") == F.col("node"), F.col("n")).otherwise(F.col("both"))).drop("hub", "both"))
+
+
+def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one key that lie in different components and can be linked.
+
+    Of the shingles that two sets share, those in a hub's set are at most what the lesser of the
+    two has of it, and the others at most what the lesser has of shared shingles (c) outside of it.
+    A pair is taken from the first table only whose key it shares."""
+    side = members.join(nodes.select("node", "left", "right"), "node")
+    other = side.select(*[F.col(c).alias(c if c == "key" else f"{c}_b") for c in side.columns])
+    both = side.join(other, "key").filter("component < component_b")
+    most = F.least("c", "c_b")
+    for i in ("i1", "i2"):
+        most = F.least(most, F.least(i, f"{i}_b") + F.least(F.col("c") - F.col(i), F.col("c_b") - F.col(f"{i}_b")))
+    both = both.filter(100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+    first = [F.array_position(F.zip_with(x, f"{x}_b", lambda p, q: p == q), True) for x in ("left", "right")]
+    return both.filter((first[0] == F.col("i") + 1) & (first[1] == F.col("j") + 1)).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     percent: int = 80, side: int = SIDE, width: int = WIDTH) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -88,43 +125,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     keys = (nodes.select("node", "n", F.posexplode("left").alias("i", "x"), "right")
             .select("node", "n", "i", "x", F.posexplode("right").alias("j", "y"))
-            .select(F.xxhash64("i", "x", "j", "y").alias("key"), "node", "n"))
+            .select(F.xxhash64("i", "x", "j", "y").alias("key"), "node", "n", "i", "j"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
     tables = landed(keys.join(shared, "key"), "tables")
 
     members = tables.select(F.col("node").alias("id")).distinct()
     sets = landed(in_arrow(rows.join(members, "id", "left_semi"), _sets(k), "id long, members array<long>"), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that are linked; the wide row travels once per pair, toward its partner."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """(a, b, both, linked) of pairs; the wide row travels once per pair, toward its partner."""
         one = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("of_b")), "b")
         two = one.join(sets.select(F.col("id").alias("a"), F.col("members").alias("of_a")), "a")
         both = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-        return two.filter(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select("a", "b").distinct()
-
-    def sized(df: DataFrame) -> DataFrame:
-        """A pair whose sizes alone rule it out is never read."""
-        return df.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-
-    # hubs of a key: its least node and the least by a hash, so that two texts of the key are tried as centres
-    me = F.struct("node", "n")
-    hubs = tables.groupBy("key").agg(F.min(me).alias("h1"), F.min_by(me, F.xxhash64("node", "key")).alias("h2"))
-    starred = tables.join(hubs, "key").select("node", "n", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).filter("node != h.node")
-    pairs = landed(sized(starred.select(F.col("h.node").alias("a"), F.col("node").alias("b"), F.col("h.n").alias("n_a"), F.col("n").alias("n_b"))), "pairs")
-    links = landed(verified(pairs), "links")
-
-    # members of one key that the hubs have not brought together
+        linked = 100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)
+        return landed(two.select("a", "b", both.alias("both"), linked.alias("linked")).groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked")), "compared")
+
+    # every key's least node is compared with its other members
+    hubs = landed(tables.groupBy("key").agg(F.min("node").alias("hub")), "hubs")
+    tested = compared(_hub_pairs(tables, hubs))
+    found = components(tested.filter("linked"), "a", "b")
+
+    # where that leaves several components, so is the member with the largest share of shared shingles
+    region = landed(_mixed(tables, found), "region")
+    own = (sets.join(region.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", F.explode("members").alias("s"))
+           .groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("node")).filter("times = 1")
+           .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    region = landed(region.drop("component").join(own, "node", "left").withColumn("c", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"), "region")
+    centres = landed(region.groupBy("key").agg(F.max_by("node", F.struct(F.col("c") / F.col("n"), -F.col("node"))).alias("hub")), "hubs")
+    again = compared(_hub_pairs(region, centres).join(tested, ["a", "b"], "left_anti"))
+    tested = tested.unionByName(again)
+    back = tested.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", "linked")
+    tested = landed(tested.unionByName(back).groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked")), "tested")
+    found = components(tested.filter("linked AND a < b"), "a", "b")
+
+    # members of different components that both bounds allow are compared pairwise
+    apart = _inside(_inside(_mixed(region, found), hubs, tested, "i1"), centres, tested, "i2")
+    last = compared(_across(apart, nodes, percent).distinct().join(tested, ["a", "b"], "left_anti"))
+    links = tested.filter("linked AND a < b").select("a", "b").union(last.filter("linked").select("a", "b"))
     found = components(links, "a", "b")
-    placed = tables.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    mixed = landed(placed.join(apart, "key"), "mixed")
-    other = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    across = mixed.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component")).join(other, "key").filter("component < component_b")
-    untried = (sized(across).join(pairs, ["a", "b"], "left_anti")
-               .join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"))
-    more = landed(verified(landed(untried, "pairs")), "links")
-    if not more.isEmpty():
-        found = components(links.union(more), "a", "b")
 
     names = nodes.select("d1", "d2", "node").join(found, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = sig.select("id", "n", "d1", "d2").join(names, ["d1", "d2"], "left")
