@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
 from .near_dup import near_duplicates
+from .substring import near_passages
 from .toxicity import crc_bucket, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,11 @@ def op6(spark, sf):
     return near_duplicates(read_table(spark, sf, "documents"), k=4, percent=80)
 
 
+@register("op7_compact_windows")
+def op7(spark, sf):
+    return near_passages(read_table(spark, sf, "documents"))
+
+
 @register("op8_bpe")
 def op8(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
