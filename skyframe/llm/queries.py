@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
+from .langid import languages
 from .near_dup import near_duplicates
 from .substring import near_passages
 from .toxicity import crc_bucket, toxicity
@@ -50,3 +51,10 @@ def op8(spark, sf):
     out = bpe_decode(bpe_encode(read_table(spark, sf, "documents"), path), path)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@register("op10_language_id")
+def op10(spark, sf):
+    bucket = crc_bucket(F.col("doc_id"), 4)
+    out = languages(read_table(spark, sf, "documents"), learn=bucket != 2)
+    return out.select("doc_id", (bucket == 2).alias("held_out"), "lang_pred", "score")
