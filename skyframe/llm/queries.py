@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
 from .langid import languages
 from .near_dup import near_duplicates
 from .substring import near_passages
+from .token_files import token_files
 from .toxicity import crc_bucket, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +55,12 @@ def op8(spark, sf):
                       F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@register("op9_token_files")
+def op9(spark, sf):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files(read_table(spark, sf, "documents"), path, scratch_path(spark, "llm-token-files"), end_id=2)
+
+
 @register("op10_language_id")
 def op10(spark, sf):
     bucket = crc_bucket(F.col("doc_id"), 4)
