@@ -16,6 +16,7 @@ from .near_dup import near_duplicates
 from .substring import near_passages
 from .token_files import token_files
 from .toxicity import crc_bucket, toxicity
+from .warc import page_of, read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +31,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op3_warc_salvage", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+FROM m""")
+def op3(spark, sf):
+    path = scratch_path(spark, "llm-archives")
+    write_archives(read_table(spark, sf, "pages"), path)
+    found = read_archives(spark, path, bodies=False).filter(~F.col("quarantined"))
+    return found.select(page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
+
+
 @register("op5_toxicity")
 def op5(spark, sf):
     docs = read_table(spark, sf, "documents")
