@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
+from .fingerprint import as_text, edited_fingerprints, likeness
 from .langid import languages
 from .near_dup import near_duplicates
 from .substring import near_passages
@@ -31,6 +32,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op2_fingerprints")
+def op2(spark, sf):
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return edited_fingerprints(read_table(spark, sf, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(own).alias("fingerprint"), as_text(edited).alias("edited_fingerprint"),
+        likeness(own, edited).alias("near_edited"), likeness(own, following).alias("near_next"))
+
+
 @register("op3_warc_salvage", """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
