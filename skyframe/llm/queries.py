@@ -16,6 +16,7 @@ from .langid import languages
 from .near_dup import near_duplicates
 from .substring import near_passages
 from .token_files import token_files
+from .topk import top_k
 from .toxicity import crc_bucket, toxicity
 from .warc import page_of, read_archives, write_archives
 
@@ -32,6 +33,19 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_exact_top_k", """
+WITH v AS (SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def op1(spark, sf):
+    vectors = read_table(spark, sf, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 @register("op2_fingerprints")
 def op2(spark, sf):
     own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
