@@ -13,6 +13,7 @@ from ..sources.adapter import read_table
 from .bpe import bpe_decode, bpe_encode
 from .fingerprint import as_text, edited_fingerprints, likeness
 from .langid import languages
+from .mixing import mix
 from .near_dup import near_duplicates
 from .substring import near_passages
 from .token_files import token_files
@@ -69,6 +70,12 @@ def op3(spark, sf):
     return found.select(page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
 
 
+@register("op4_mixing")
+def op4(spark, sf):
+    mixed, names = mix(read_table(spark, sf, "documents"))
+    return mixed.select("doc_id", "source", "lang", *[F.col(names[n]).alias(n) for n in ("topic", "tokens", "probability", "kept")])
+
+
 @register("op5_toxicity")
 def op5(spark, sf):
     docs = read_table(spark, sf, "documents")

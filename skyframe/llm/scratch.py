@@ -25,6 +25,14 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that tasks can
     import it wherever the driver was started from."""
@@ -43,7 +51,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` of a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
