@@ -23,8 +23,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .scratch import in_arrow
+from .scratch import free_name, in_arrow
 from .words import U64, Words, mix, pieces, words
 
 WINDOW, STRIDE = 32, 16
@@ -288,9 +289,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return texts.merge(chosen, on="id").sort_values("id", ignore_index=True)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             learn: Column | None = None, per_class: int = 1600, max_chars: int = 6000) -> DataFrame:
-    """(id, score, predicted) of every row of ``docs``.
+def with_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+                  learn: Column | None = None, per_class: int = 1600, max_chars: int = 6000) -> tuple[DataFrame, str, str]:
+    """``docs`` with a score and a prediction, and the names of these two columns.
 
     Learns from a sample of labelled documents for whose rows ``learn`` holds
     (all if None): at most ``per_class`` of either label, each of ``max_chars``
@@ -303,18 +304,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = labelled_sample(pool, labels, id_col, text_col, label_col, per_class, max_chars)
     net = train(sample["text"].tolist(), sample["y"].to_numpy(np.int64))
     model = docs.sparkSession.sparkContext.broadcast(net)
+    names = free_name(docs, "score"), free_name(docs, "predicted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = model.value
         for batch in batches:
-            for part in pieces(batch, "text"):
-                w = words(part.column("text"))
+            for part in pieces(batch, text_col):
+                w = words(part.column(text_col))
                 logit, text = net.logits(w)
                 best = np.full(len(w), -np.inf)
                 np.maximum.at(best, text, logit)
-                score = np.where(np.isfinite(best), sigmoid(np.clip(net.a * np.where(np.isfinite(best), best, 0) + net.b, -30, 30)), 0.0)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=["id", "score", "predicted"])
+                some = np.isfinite(best)
+                score = np.where(some, sigmoid(np.clip(net.a * np.where(some, best, 0) + net.b, -30, 30)), 0.0)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=[*part.schema.names, *names])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return in_arrow(rows, run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    shape = StructType([*docs.schema.fields, StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
+    return in_arrow(docs, run, shape), *names
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, score, predicted) of every row of ``docs``; see ``with_toxicity``."""
+    out, score, predicted = with_toxicity(docs.select(id_col, text_col), labels, id_col, text_col, **options)
+    return out.select(id_col, F.col(score).alias("score"), F.col(predicted).alias("predicted"))
