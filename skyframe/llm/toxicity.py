@@ -33,6 +33,7 @@ HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 10
 WORD_ROWS, CHAR_ROWS = 1 << 12, 1 << 14
 GRAMS = (3, 5)
 CHUNK = 1024
+DROPPED = 0.3
 
 _rng = np.random.default_rng(11)
 _BYTES = _rng.integers(1, 2**64 - 1, (max(GRAMS), 256), dtype=U64)
@@ -159,7 +160,7 @@ class Network:
                 out[part] = self.forward(rows, None if full else mask, feats)[0]
         return out, text
 
-    def gradient(self, lex: Lexicon, rows: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    def gradient(self, lex: Lexicon, rows: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray, drop: np.random.Generator | None = None) -> dict[str, np.ndarray]:
         """Gradient of the weighted mean logistic loss of some windows."""
         used, rows = np.unique(rows, return_inverse=True)
         rows = rows.reshape(mask.shape)
@@ -168,6 +169,8 @@ class Network:
         gram_at = np.concatenate([[0], np.cumsum(n)])
         sub = Lexicon(lex.word_rows[used], lex.gram_rows[np.arange(gram_at[-1]) + np.repeat(at[used] - gram_at[:-1], n)], gram_at, rows)
         x = self.features(sub)
+        if drop is not None:  # some distinct words are blank in this step
+            x *= drop.random((len(x), 1), np.float32) > DROPPED
         logit, (states, attention, pooled, k1, k2) = self.forward(rows, mask, self.project(x), keep=True)
         g = {}
         d = ((sigmoid(logit) - y) * weight / weight.sum()).astype(np.float32)
@@ -241,7 +244,7 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int =
             b = pick[i:i + batch]
             rows, mask = window_rows(lex, first[b], size[b])
             rate = 0.02 * (1 - 0.95 * (p + i / len(pick)) / passes)
-            g, step = net.gradient(lex, rows, mask, y[b], weight[b]), step + 1
+            g, step = net.gradient(lex, rows, mask, y[b], weight[b], r), step + 1
             for k, v in g.items():
                 moment[k] = 0.9 * moment.get(k, 0) + 0.1 * v
                 square[k] = 0.99 * square.get(k, 0) + 0.01 * v * v
@@ -256,10 +259,10 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int =
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """Slope and offset of a logistic unit over the texts' highest logits, classes of equal weight, slightly shrunk."""
+    """Slope and offset of a logistic unit over the texts' highest logits, slightly shrunk."""
     scale = float(np.std(x)) or 1.0
     m = np.stack([x / scale, np.ones_like(x)], 1)
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    weight = np.full(len(y), 1 / max(len(y), 1))
     c = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = sigmoid(m @ c)
