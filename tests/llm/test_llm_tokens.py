@@ -1,0 +1,149 @@
+"""BPE, token files and fingerprints against the library, brute force and round trips."""
+
+import hashlib
+import os
+import random
+import sys
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from tokenizers import Tokenizer
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_cases import empty, frame, shingle_set, texts  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from skyframe.llm.bpe import Vocabulary, bpe_decode, bpe_encode  # noqa: E402
+from skyframe.llm.fingerprint import containment, edited_fingerprints, likeness, merged, with_sketch  # noqa: E402
+from skyframe.llm.queries import QUERIES  # noqa: E402
+from skyframe.llm.token_files import HashIndex, WordEncoder, encode_words, pack, read_token_files, token_files, unpack, write_token_files  # noqa: E402
+from skyframe.session import scratch_path  # noqa: E402
+
+BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+ODD = "abcABÉéñßΣσİ  \n\t'sllthe.,0123日本́\x1c\x1f\x85᠎​　🎉-_"
+
+
+def odd_texts():
+    r = random.Random(1)
+    return (["".join(r.choice(ODD) for _ in range(r.choice([0, 1, 2, 5, 30, 300]))) for _ in range(800)] + ["a" * 3000, "ab" * 2000, "<|endoftext|>x <|ENDOFTEXT|>", "<|startoftext|>.", " <| A B", "it's we'll I'M"]
+            + [chr(c) + "a, " + chr(c) + "." for c in range(1, 0x3000, 3)])
+
+
+def test_segment_tree_merges_like_the_library():
+    t, v = odd_texts(), Vocabulary(open(BYTE, encoding="utf-8").read())
+    got = v.encode(t)
+    assert [np.frombuffer(g, np.int32).tolist() for g in got] == [e.ids for e in Tokenizer.from_file(BYTE).encode_batch(t, add_special_tokens=False)]
+    ids = [np.frombuffer(g, np.int32) for g in got]
+    at = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+    assert [d.decode() for d in v.decode(np.concatenate(ids), at)] == t
+
+
+def test_lone_bytes_decode_to_replacement_marks():
+    tk, v = Tokenizer.from_file(BYTE), Vocabulary(open(BYTE, encoding="utf-8").read())
+    for ids in ([200, 201, 50256, 5], [158, 255], list(range(188, 256))):
+        assert v.decode(np.array(ids), np.array([0, len(ids)]))[0].decode() == tk.decode(ids, skip_special_tokens=False)
+    assert v.decode(np.array([-1, 10**6]), np.array([0, 2])) == [b""]
+
+
+def test_op8_equals_the_library(spark, sf_dir):
+    tk = Tokenizer.from_file(BYTE)
+    got = {r.doc_id: r for r in QUERIES["op8_bpe"](spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = tk.encode(r.text or "", add_special_tokens=False).ids
+        back = tk.decode(ids, skip_special_tokens=False)
+        assert tuple(got[r.doc_id])[1:] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+
+
+def test_bpe_cases(spark):
+    out = bpe_decode(bpe_encode(frame(spark), BYTE), BYTE).collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(i), t or "") for i, t in texts())
+    assert bpe_decode(bpe_encode(empty(spark), BYTE), BYTE).collect() == []
+
+
+def test_word_encoder_equals_the_library():
+    t, e = odd_texts(), WordEncoder(open(WORD, encoding="utf-8").read())
+    want = [x.ids for x in Tokenizer.from_file(WORD).encode_batch(t, add_special_tokens=False)]
+    e.KEPT = 50  # the cache starts anew between calls
+    for _ in range(2):
+        flat, at = e.encode(pa.array(t), None)
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == want
+
+
+def test_hash_index():
+    h = np.unique(np.random.default_rng(2).integers(0, 2**64 - 1, 5000, dtype=np.uint64) | np.uint64(0xFFFFF00000000000))  # all collide
+    index = HashIndex()
+    assert (index.add(h[::2]) == np.arange(len(h[::2]))).all()
+    assert (index.find(h)[::2] == np.arange(len(h[::2]))).all() and (index.find(h)[1::2] == -1).all()
+
+
+def test_codes_round_trip():
+    r = np.random.default_rng(3)
+    for v in (np.zeros(0), np.array([0]), np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1]), r.integers(0, 2**32, 999), r.integers(0, 300, 1001)):
+        control, data = pack(v.astype(np.uint32))
+        assert (unpack(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), len(v)) == v).all()
+    assert pack(np.array([1, 300, 70000, 2**24]))[0] == bytes([0b11100100])
+
+
+def test_op9_equals_the_library(spark, sf_dir):
+    tk, start, want = Tokenizer.from_file(WORD), 0, []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect():
+        ids = [*tk.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, QUERIES["op9_token_files"](spark, sf_dir).collect())) == want
+
+
+def test_token_files_cases(spark):
+    rows = token_files(frame(spark), WORD, scratch_path(spark, "t"), 2).collect()
+    assert len(rows) == len(texts()) and {r.n_tokens for r in rows if r.doc_id in (20, 21, 22)} == {1}
+    spans = sorted((r.start, r.n_tokens) for r in rows)
+    assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0
+    order = [r.doc_id for r in sorted(rows, key=lambda r: r.start)]
+    assert order[:2] == [None, None] and order[2:] == sorted(order[2:])
+    assert token_files(empty(spark), WORD, scratch_path(spark, "t"), 2).collect() == []
+
+
+def test_token_files_give_back_the_ids(spark):
+    path, tokens = scratch_path(spark, "t"), encode_words(frame(spark), WORD, 2)
+    write_token_files(tokens, path)
+    key = lambda i, ids: (str(i), ids)
+    assert sorted(key(r.id, r.ids) for r in read_token_files(spark, path).collect()) == sorted(key(r.doc_id, np.frombuffer(r.ids, "<u2").tolist()) for r in tokens.collect())
+
+
+def test_op2_equals_brute_force(spark, sf_dir):
+    docs = sorted(((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()), reverse=True)
+    got = {r.doc_id: r for r in QUERIES["op2_fingerprints"](spark, sf_dir).collect()}
+    far = []
+    for n, (i, t) in enumerate(docs):
+        follow = docs[(n + 1) % len(docs)][1]
+        half = len(t) // 2
+        new = t[:len(t) - half] + follow[:half]
+        r, a, b, c = got[i], shingle_set(t, 5), shingle_set(new, 5), shingle_set(follow, 5)
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(new.encode()).hexdigest())
+        far += [abs(r.near_edited - len(a & b) / len(a | b)), abs(r.near_next - len(a & c) / len(a | c))]
+        assert max(far[-2:]) < (1e-9 if max(map(len, (a, b, c))) <= 64 else 0.25)
+    assert np.mean(far) < 0.03
+    by_text = {}
+    for i, t in docs:
+        assert by_text.setdefault(" ".join(t.lower().split()), got[i].fingerprint) == got[i].fingerprint
+
+
+def test_sketches_merge_and_contain(spark):
+    words = " ".join(f"w{i}" for i in range(4000))
+    some = " ".join(f"w{i}" for i in range(1000, 2000))
+    df = with_sketch(with_sketch(spark.createDataFrame([(words, some)], "a string, b string"), "a", "x"), "b", "y")
+    df = with_sketch(df.withColumn("ab", F.concat_ws(" ", "a", "b")), "ab", "z")
+    r = df.select(containment(F.col("y"), F.col("x")).alias("c"), containment(F.col("x"), F.col("y")).alias("d"), merged(F.col("x"), F.col("y")).alias("m"), "x", "z").first()
+    assert r.c == 1.0 and 0.18 < r.d < 0.32
+    assert r.m.hashes == r.x.hashes
+
+
+def test_fingerprint_cases(spark):
+    out = edited_fingerprints(frame(spark)).withColumn("near", likeness(F.col("sketch"), F.col("edited_sketch"))).collect()
+    rows = {r.doc_id: r for r in out}
+    assert len(out) == len(texts()) and rows[20].n_chars == 0 and rows[20].edited == "" and rows[20].near == 1.0
+    assert rows[10].edited.startswith(rows[10].edited[:10]) and rows[None].next_sketch.hashes == []
+    assert rows[23].sketch == rows[25].sketch
+    assert edited_fingerprints(empty(spark)).collect() == []
