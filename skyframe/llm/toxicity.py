@@ -8,7 +8,7 @@ Windows overlap by half and cover every word of every text.  A text's score is
 its highest window's, calibrated on the training texts.
 
 Training is by alternation: a toxic text need only have some toxic windows, so
-after a first pass with the texts' labels, the windows of toxic texts that
+after some passes with the texts' labels, the windows of toxic texts that
 score low are left out of the next passes, in which half of the clean windows are
 those that score highest.
 """
@@ -33,7 +33,8 @@ HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 10
 WORD_ROWS, CHAR_ROWS = 1 << 12, 1 << 14
 GRAMS = (3, 5)
 CHUNK = 1024
-DROPPED = 0.3
+#: Part of the distinct words that is blank in a training step, first step size, passes before windows are picked by score.
+DROPPED, RATE, MINE = 0.3, 0.02, 3
 
 _rng = np.random.default_rng(11)
 _BYTES = _rng.integers(1, 2**64 - 1, (max(GRAMS), 256), dtype=U64)
@@ -216,12 +217,14 @@ def window_rows(lex: Lexicon, first: np.ndarray, size: np.ndarray) -> tuple[np.n
 
 def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int = 8000, batch: int = 192, seed: int = 5) -> Network:
     """Network fitted to texts and their labels (0 or 1); ``per_pass`` windows at most are read per pass,
-    half of them from toxic texts.  Every fourth text is only used to calibrate the score."""
+    half of them from toxic texts.  Every fourth text of either label is only used to calibrate the score."""
     net, r = Network(), np.random.default_rng(seed)
     w = words(pa.array(texts, pa.string()))
     first, size, text = windows(w.offsets)
     y = labels[text].astype(np.float32) if len(text) else np.zeros(0, np.float32)
-    held = np.arange(len(texts)) % 4 == 3
+    held = np.zeros(len(texts), bool)
+    for side in (0, 1):
+        held[np.flatnonzero(labels == side)[3::4]] = True
     if min(held[labels == 0].sum(), held[labels == 1].sum()) == 0:
         held[:] = False
     if len(np.unique(y)) < 2:  # nothing to tell apart
@@ -235,7 +238,7 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int =
         for side in (0, 1):
             some = np.flatnonzero(use & (y == side) & ~held[text])
             n = min(len(some), per_pass // 2)
-            hard = some[np.argsort(-logit[some], kind="stable")[:n // 2]] if p and side == 0 else some[:0]
+            hard = some[np.argsort(-logit[some], kind="stable")[:n // 2]] if p >= MINE and side == 0 else some[:0]
             pick += [hard, r.choice(np.setdiff1d(some, hard), n - len(hard), replace=False)]
         pick = r.permutation(np.concatenate(pick))
         share = max(y[pick].mean(), 1e-3)
@@ -243,16 +246,19 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int =
         for i in range(0, len(pick), batch):
             b = pick[i:i + batch]
             rows, mask = window_rows(lex, first[b], size[b])
-            rate = 0.02 * (1 - 0.95 * (p + i / len(pick)) / passes)
+            rate = RATE * (1 - 0.95 * (p + i / len(pick)) / passes)
             g, step = net.gradient(lex, rows, mask, y[b], weight[b], r), step + 1
             for k, v in g.items():
                 moment[k] = 0.9 * moment.get(k, 0) + 0.1 * v
-                square[k] = 0.99 * square.get(k, 0) + 0.01 * v * v
+                # one scale for a whole table of embeddings: rows that are seen often then move more than rare ones
+                power = np.float32((v * v).sum() / max(np.count_nonzero(v), 1)) if k in ("word", "char") else v * v
+                square[k] = 0.99 * square.get(k, 0) + 0.01 * power
                 net.p[k] -= (rate * (moment[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
         logit = net.logits(w)[0]
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, text, logit)
-        use = (y == 0) | (logit >= np.minimum(0.0, best[text]))
+        if p + 1 >= MINE:
+            use = (y == 0) | (logit >= np.minimum(0.0, best[text]))
     some = np.isfinite(best) & (held | ~held.any())
     net.a, net.b = calibrate(best[some], labels[some])
     return net
