@@ -108,6 +108,8 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Fields, body and end of the record at ``at``; raises Damage where a check fails."""
     _, fields, body = parse_head(data, at)
     length = fields.get("content-length", "")
+    if "warc-type" not in fields or "warc-record-id" not in fields:
+        raise Damage("a field is missing that every record has")
     if not (length.isascii() and length.isdigit()):
         raise Damage("no content length")
     end = body + int(length)
