@@ -27,13 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Source
 from .scratch import in_arrow, landed
-from .words import pieces, words
+from .words import U64, pieces, words
 
 BLOCK_IDS = 1 << 18
 BLOCKS_PER_FILE = 64
@@ -69,6 +70,42 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class HashIndex:
+    """Numbers of 64-bit hashes, in arrays with open addressing: whole arrays are looked up at a time."""
+
+    BITS = 21
+
+    def __init__(self):
+        self.keys, self.numbers, self.count = np.zeros(1 << self.BITS, U64), np.zeros(1 << self.BITS, np.int32), 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those not there."""
+        out = np.full(len(hashes), -1, np.int64)
+        which, at, wanted = np.arange(len(hashes)), (hashes >> U64(64 - self.BITS)).astype(np.int64), np.maximum(hashes, U64(1))
+        while len(which):
+            there = self.keys[at]
+            hit = there == wanted
+            out[which[hit]] = self.numbers[at[hit]]
+            on = ~hit & (there != 0)
+            which, at, wanted = which[on], (at[on] + 1) & ((1 << self.BITS) - 1), wanted[on]
+        return out
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Number distinct hashes that are not there yet, in order."""
+        numbers = self.count + np.arange(len(hashes))
+        self.count += len(hashes)
+        left, at, wanted = numbers, (hashes >> U64(64 - self.BITS)).astype(np.int64), np.maximum(hashes, U64(1))
+        while len(left):
+            free = np.flatnonzero(self.keys[at] == 0)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[at[put]], self.numbers[at[put]] = wanted[put], left[put]
+            on = np.ones(len(left), bool)
+            on[put] = False
+            left, at, wanted = left[on], (at[on] + 1) & ((1 << self.BITS) - 1), wanted[on]
+        return numbers
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, called once per distinct word that a worker meets.
 
@@ -88,11 +125,11 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = dict(zip(self.MARKS, self.whole([m.decode() for m in self.MARKS])))
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.size, self.pool, self.used = np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+        self.index, self.at, self.pool = HashIndex(), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -102,7 +139,6 @@ class WordEncoder:
         a word; a mark behind a letter is a word of its own to the pattern."""
         cut = [w[-1:] in self.MARKS and w[-2:-1].isalpha() for w in found]
         stems = [(w[:-1] if c else w).decode() for w, c in zip(found, cut)]
-        marks = dict(zip(self.MARKS, self.whole([m.decode() for m in self.MARKS])))
         plain = [i for i, w in enumerate(stems) if w.isalpha()]
         out: list[list[int] | None] = [None] * len(stems)
         groups = [plain[i:i + self.TOGETHER] for i in range(0, len(plain), self.TOGETHER)]
@@ -114,33 +150,31 @@ class WordEncoder:
         rest = [i for i, o in enumerate(out) if o is None]
         for i, ids in zip(rest, self.whole([stems[i] for i in rest])):
             out[i] = ids
-        return [o + marks[w[-1:]] if c else o for o, w, c in zip(out, found, cut)]
+        return [o + self.marks[w[-1:]] if c else o for o, w, c in zip(out, found, cut)]
 
     def encode(self, column: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column and their offsets; ``end`` is put behind each text."""
-        if len(self.slot) > self.KEPT:
+        if self.index.count > self.KEPT:
             self.forget()
         w = words(column)
-        names, first, of = np.unique(w.hashes, return_index=True, return_inverse=True)
-        slots = np.fromiter((self.slot.get(n, -1) for n in names.tolist()), np.int64, len(names))
-        fresh = np.flatnonzero(slots < 0)
-        if len(fresh):
-            body = w.data.tobytes()
-            ids = self.new([body[a:b].lower() for a, b in zip(w.starts[first[fresh]].tolist(), w.ends[first[fresh]].tolist())])
-            slots[fresh] = len(self.size) + np.arange(len(fresh))
-            self.slot.update(zip(names[fresh].tolist(), slots[fresh].tolist()))
-            self.size = np.concatenate([self.size, [len(i) for i in ids]]).astype(np.int64)
-            self.pool = np.concatenate([self.pool[:self.used], np.array([x for i in ids for x in i], np.int32)])
-            self.used = len(self.pool)
-        at_slot = np.cumsum(self.size) - self.size
-        # the end id stands as a word of its own behind the words of each text
+        slots = self.index.find(w.hashes)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            fresh, first = np.unique(w.hashes[missing], return_index=True)
+            body, first = w.data.tobytes().lower(), missing[first]
+            ids = self.new([body[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])
+            self.index.add(fresh)
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(i) for i in ids])])
+            self.pool = np.concatenate([self.pool, np.array([x for i in ids for x in i], np.int32)])
+            slots[missing] = self.index.find(w.hashes[missing])
         text = np.repeat(np.arange(len(w)), np.diff(w.offsets))
-        size, start = self.size[slots][of], at_slot[slots][of]
+        start = self.at[slots]
+        size = self.at[slots + 1] - start
         ends = np.cumsum(size)
         flat = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
         counts = np.bincount(text, weights=size, minlength=len(w)).astype(np.int64)
         at = np.concatenate([[0], np.cumsum(counts)])
-        special = [t for t, raw in enumerate(column.cast(pa.large_binary()).to_pylist()) if raw is not None and b"<|" in raw]
+        special = set(np.flatnonzero(pc.fill_null(pc.match_substring(column, "<|"), False).to_numpy(zero_copy_only=False)).tolist())
         parts = []
         for t in range(len(w)):
             parts.append(flat[at[t]:at[t + 1]])
@@ -161,9 +195,9 @@ def _encoder(source: Source) -> WordEncoder:
     return _encoders[source.id]
 
 
-def encode_words(docs: DataFrame, path: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every row: its whole text under a lower-casing word tokenizer, and
-    ``end_id`` behind it.  Null texts count as empty."""
+def encode_words(docs: DataFrame, path: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", kind: str = "<u2") -> DataFrame:
+    """(id, ids binary) of every row: its whole text under a lower-casing word tokenizer, and
+    ``end_id`` behind it, packed as numpy type ``kind``.  Null texts count as empty."""
     source = Source(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,19 +205,42 @@ def encode_words(docs: DataFrame, path: str, end_id: int | None = None, id_col:
         for batch in batches:
             for part in pieces(batch, "text"):
                 flat, at = encoder.encode(part.column("text"), end_id)
-                ids = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))
+                if len(flat) and flat.max() > np.iinfo(kind).max:
+                    raise ValueError(f"id {flat.max()} does not fit {kind}")
+                body = flat.astype(kind).tobytes()
+                step = np.dtype(kind).itemsize
+                ids = pa.array([body[a:b] for a, b in zip((at[:-1] * step).tolist(), (at[1:] * step).tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("id"), ids], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return in_arrow(rows, run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    return in_arrow(rows, run, "id long, ids binary").withColumnRenamed("id", id_col)
+
+
+def packed(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column without nulls, and the offsets of its rows."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    data = np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]] if len(column) and body is not None else np.zeros(0, np.uint8)
+    return data.view(kind), ((offsets - offsets[0]) // np.dtype(kind).itemsize if len(column) else np.zeros(1, np.int64))
 
 
-def write_token_files(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> None:
-    """Write ``tokens`` under ``path`` in ascending order of id (nulls first; rows of one id in order of a hash
-    of their ids, then of the ids).  Ids are not negative; null lists count as empty."""
+def write_token_files(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", kind: str = "<u2") -> None:
+    """Write ``tokens`` (ids packed as numpy type ``kind``) under ``path`` in ascending order of id (nulls first; rows of one
+    id in order of a hash of their ids, then of the ids).  Null ids lists count as empty."""
     spark = tokens.sparkSession
-    rows = tokens.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
-    counts = rows.select(F.explode("ids").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).toPandas()  # one row per id of the vocabulary
+    rows = tokens.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1, np.int64)
+        for batch in batches:
+            n = np.bincount(packed(batch.column("ids"), kind)[0])
+            total = np.pad(total, (0, max(0, len(n) - len(total))))
+            total[:len(n)] += n
+        token = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(total[token])], names=["token", "n"])
+
+    counts = in_arrow(rows.select("ids"), count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()  # one row per id of the vocabulary
     counts = counts.sort_values(["n", "token"], ascending=[False, True])
     ids = counts["token"].to_numpy(np.int64)
     spark.createDataFrame([(int(t), r) for r, t in enumerate(ids.tolist())], "id int, rank int").coalesce(1).write.parquet(f"{path}/ranks")
@@ -194,13 +251,12 @@ def write_token_files(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            lists = batch.column("ids")
-            at = lists.offsets.to_numpy().astype(np.int64)
-            group = (at[1:] - at[0]) // BLOCK_IDS
+            flat, at = packed(batch.column("ids"), kind)
+            group = at[1:] // BLOCK_IDS
             edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
             for a, b in zip(edges, edges[1:]):
                 if b > a:
-                    ids = lists.values.to_numpy()[at[a]:at[b]]
+                    ids = flat[at[a]:at[b]]
                     control, data = pack(ranks.value[ids])
                     some = batch.column("id").slice(a, b - a)
                     parts = [struct.pack(HEAD, MAGIC, partition, before, b - a, len(ids), len(data)), some.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
