@@ -97,15 +97,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     document: the empty text stands for it.  Where rows share an id, each is
     edited, and the text of the least hash stands for the id as a next document."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = next_documents(rows, "id", "text").withColumnRenamed("id", "owner")
-    following = rows.join(order, (rows["id"] == order["next_id"]) & (F.xxhash64("text") == order["next_mark"]))
+    named = rows.filter("id IS NOT NULL")
+    order = next_documents(named, "id", "text").withColumnRenamed("id", "owner")
+    # the mark is no join key, so that both joins use one exchange of the texts by id
+    marked = F.xxhash64("text").bitwiseXOR(order["next_mark"]) == 0
+    following = named.join(order, named["id"] == order["next_id"]).filter(marked)
     following = with_sketch(following.select("owner", "need", "text"), "text", "next_sketch")
     following = following.select("owner", F.left("text", F.col("need").cast("int")).alias("head"), "next_sketch")
     if not rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         following = following.dropDuplicates(["owner"])  # these rows are equal
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    out = rows.join(following, rows["id"] == following["owner"], "left").drop("owner")
+    out = named.join(following, named["id"] == following["owner"]).drop("owner").unionByName(rows.filter("id IS NULL"), allowMissingColumns=True)
     out = out.select("id", "text", n.cast("long").alias("n_chars"), F.concat(F.left("text", n - half), F.left(F.coalesce("head", F.lit("")), half)).alias("edited"), "next_sketch")
     out = with_sketch(with_sketch(out, "text", "sketch"), "edited", "edited_sketch")
     nothing = F.struct(F.lit(MOST).alias("threshold"), F.array().cast("array<bigint>").alias("hashes"))
