@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.scalars import leading_token
-from .joins import bounded_broadcast, keys_present, materialize
-from .ranking import first_per_key, next_in_group, replicate
+from .joins import keys_present, materialize
+from .ranking import first_per_key, next_in_group, nulls_last_struct, replicate
 
 RECORD_FIELDS = ["year_mon_day", "week", "max_t", "min_t", "weather", "wind", "aqi", "aqi_type"]
 
@@ -55,40 +55,50 @@ def route_records(df: DataFrame, rec_col: str = "record", sep: str = ",",
     return out.withColumns(cols).drop("_parts")
 
 
-def _struct_of(cols) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
-
-
 def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order,
                  status_col: str | None = None, bad_value: str = "bad",
                  out: str = "accepted") -> DataFrame:
-    """Batch-atomic acceptance.  A batch is rejected as a whole when one
-    of its rows (a) has a key already in ``target``, (b) repeats a key inside
-    the batch, (c) has a key held by an earlier batch of this call (order
-    ``batch_order`` then ``batch``), or (d) is routed ``bad``.  Adds boolean
-    ``out`` to every incoming row.
+    """Batch-atomic acceptance, as if the batches came one after another
+    (order ``batch_order``, NULLs last, then ``batch``) and each were stored
+    as a whole or not at all.  A batch is rejected when one of its rows has a
+    key that is stored already, by ``target`` or by an accepted earlier batch,
+    repeats a key inside the batch, has a NULL in its key, or is routed
+    ``bad``.  Rejected batches hold no key.  NULL batch values name a batch
+    like any other.  Adds boolean ``out`` to every incoming row.
+
+    Batches that are bad on their own go first.  Then, in rounds, every batch
+    that is the earliest one left for all of its keys is accepted, and those
+    that share a key with it are rejected; the earliest batch of all is
+    always among them, so the rounds end.  They run on (batch, key) pairs
+    alone, each landed in the checkpoint folder.
     """
     batch, key, batch_order = list(batch), list(key), list(batch_order)
-    bpos = _struct_of(batch_order + batch)
-    # (batch, key) pairs with their multiplicity: partial aggregation first
-    bk = incoming.groupBy(*batch, *key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(bpos).alias("_bpos"))
-    first = bk.groupBy(*key).agg(F.min("_bpos").alias("_first"))
-    # stored keys that occur in this call: the incoming keys (when within the
-    # broadcast bound) filter the stored table map-side, so the store is
-    # scanned, not shuffled; only the hits are de-duplicated
-    tkeys = (keys_present(target.select(*key), incoming, key).distinct()
-             .withColumn("_in_target", F.lit(True)))
-    pairs = bk.join(first, key).join(tkeys, key, "left")
-    bad_pairs = pairs.filter((F.col("_n") > 1) | (F.col("_bpos") != F.col("_first"))
-                             | F.col("_in_target").isNotNull())
-    bad = bad_pairs.select(*batch)
-    if status_col is not None:
-        bad = bad.unionByName(incoming.filter(F.col(status_col) == F.lit(bad_value)).select(*batch))
-    bad = bad.distinct().withColumn("_bad", F.lit(True))
-    return (incoming.join(bad, batch, "left")
-            .withColumn(out, F.col("_bad").isNull())
-            .drop("_bad"))
+    has_null = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in key])
+    broken = has_null if status_col is None else has_null | F.coalesce(F.col(status_col) == F.lit(bad_value), F.lit(False))
+    # structs compare NULL fields as equal, so they serve as join keys
+    named = incoming.select(F.struct(*batch).alias("_b"), F.struct(*key).alias("_k"), nulls_last_struct(batch_order + batch).alias("_pos"), broken.alias("_bad"))
+    pairs = materialize(named.groupBy("_b", "_k").agg(
+        F.min("_pos").alias("_pos"), ((F.count(F.lit(1)) > 1) | F.max("_bad")).alias("_bad")))
+    stored = (keys_present(target.select(*key), pairs.select("_k.*"), key).distinct()
+              .select(F.struct(*key).alias("_k"), F.lit(True).alias("_stored")))
+    whole = (pairs.join(stored, "_k", "left").groupBy("_b")
+             .agg(F.min("_pos").alias("_at"), F.max(F.col("_bad") | F.col("_stored").isNotNull()).alias("_out")))
+    left = materialize(pairs.select("_b", "_k").join(whole.filter(~F.col("_out")).select("_b", "_at"), "_b"))
+    accepted = None
+    while not left.isEmpty():
+        first = left.groupBy("_k").agg(F.min("_at").alias("_first"))
+        taken = (left.join(first, "_k").groupBy("_b").agg(F.min(F.col("_at") == F.col("_first")).alias("_lead"))
+                 .filter("_lead").select("_b"))
+        taken = materialize(taken)
+        accepted = taken if accepted is None else accepted.unionByName(taken)
+        held = left.join(taken, "_b", "left_semi").select("_k")
+        clash = left.join(held, "_k", "left_semi").select("_b").distinct()
+        left = materialize(left.join(clash, "_b", "left_anti"))
+    if accepted is None:
+        return incoming.withColumn(out, F.lit(False))
+    marks = accepted.select(F.col("_b"), F.lit(True).alias("_in"))
+    return (incoming.withColumn("_b", F.struct(*batch)).join(marks, "_b", "left")
+            .withColumn(out, F.coalesce("_in", F.lit(False))).drop("_b", "_in"))
 
 
 def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order=(),
@@ -103,8 +113,10 @@ def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_ord
         m = mark_batches(target, incoming, batch, key, batch_order or batch, status_col)
         return (m.filter("accepted").drop("accepted"), m.filter(~F.col("accepted")).drop("accepted"))
     if mode == "first_wins":
-        rows = incoming if status_col is None else incoming.filter(F.col(status_col) != "bad")
-        firsts = first_per_key(rows, key, order)
+        rows = incoming.dropna(subset=list(key))  # a NULL is no key
+        rows = rows if status_col is None else rows.filter(F.col(status_col) != "bad")
+        # read by the check of stored keys and by the result: computed once
+        firsts = materialize(first_per_key(rows, key, order))
         stored = keys_present(target.select(*key), firsts, key)
         accepted = firsts.join(stored, list(key), "left_anti").select(*incoming.columns)
         return accepted, _minus_one_copy(incoming, accepted)
@@ -134,12 +146,10 @@ def dead_letter(attempts: DataFrame, key, order, status: str = "status",
     return dead.drop(f"_next_{status}", "_next_exists")
 
 
-def lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-           max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> DataFrame:
     """Left lookup into a dimension (missing key -> NULL columns).
-    The dimension is broadcast after a row-count check."""
-    d = bounded_broadcast(dim, max_broadcast_rows)
-    return df.join(d, df[left_key] == d[dim_key], "left")
+    Spark broadcasts the dimension if its bytes are few."""
+    return df.join(dim, df[left_key] == dim[dim_key], "left")
 
 
 def area_dim(spark) -> DataFrame:

@@ -33,12 +33,17 @@ def _sort_col(c) -> Column:
     return F.col(c).asc_nulls_last() if isinstance(c, str) else c
 
 
+def nulls_last_struct(cols) -> Column:
+    """A struct that sorts by ``cols`` with NULLs after all values."""
+    return F.struct(*[x for c in cols for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))])
+
+
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the smallest by ``order`` (remaining columns break
-    ties, so the choice is deterministic)."""
+    """One row per key: the smallest by ``order``, NULLs last (remaining
+    columns break ties, so the choice is deterministic)."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_first")
+    packed = nulls_last_struct(order + rest).alias("_first")
     picked = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
 

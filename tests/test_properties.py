@@ -9,15 +9,14 @@ ROW = st.tuples(st.integers(0, 4), st.integers(0, 5))          # (batch, key)
 
 
 def brute_atomic(rows, target_keys):
-    bad = set()
-    for i, (b, k) in enumerate(rows):
-        if k in target_keys:
-            bad.add(b)
-        if sum(1 for (b2, k2) in rows if b2 == b and k2 == k) > 1:
-            bad.add(b)
-        if any(k2 == k and b2 < b for (b2, k2) in rows):
-            bad.add(b)
-    return sorted(i for i, (b, _) in enumerate(rows) if b not in bad)
+    """Batches one after another; each is stored whole or not at all."""
+    stored, accepted = set(target_keys), []
+    for batch in sorted({b for b, _ in rows}):
+        keys = [k for b, k in rows if b == batch]
+        if len(set(keys)) == len(keys) and None not in keys and not stored.intersection(keys):
+            stored.update(keys)
+            accepted += [i for i, (b, _) in enumerate(rows) if b == batch]
+    return sorted(accepted)
 
 
 def brute_first_wins(rows, target_keys):

@@ -33,7 +33,7 @@ def test_row_counts(spark, name, rows):
 def test_split_counts(spark):
     q = E.queries()
     acc = q["batch_atomic"](spark, SF001).groupBy("accepted").count().collect()
-    assert {r["accepted"]: r["count"] for r in acc} == {True: 4_895, False: 7_819}
+    assert {r["accepted"]: r["count"] for r in acc} == {True: 5_590, False: 7_124}
     assert q["url_lookup"](spark, SF001).filter(F.col("n_name").isNotNull()).count() == 45
     routed = {r["status"]: r["count"] for r in q["record_route"](spark, SF001).groupBy("status").count().collect()}
     assert routed == {"ok": 45_027, "short": 14_973}
