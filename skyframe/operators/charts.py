@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.scalars import domain_ordinal, mean_temp, period_grain, pieces
-from .joins import materialize_small
+from .joins import materialize_sized
 from .query import scope
 
 GRAIN_LEN = {"year": 4, "month": 7, "day": 10}
@@ -63,7 +63,7 @@ def map_timeline(df: DataFrame, period: str = "", spec=fixed.MAP_PIECES) -> Data
     times = f.select("year_mon_day").distinct()
     numbered = times.withColumn(
         "frame", F.row_number().over(Window.orderBy("year_mon_day")).cast("int"))
-    numbered = materialize_small(numbered)
+    numbered = materialize_sized(numbered)
     return f.join(numbered, "year_mon_day")
 
 
@@ -109,9 +109,9 @@ def class_series(df: DataFrame, col: str = "aqi_type", domain=fixed.AQI_CLASSES)
 
 
 def class_pivot(df: DataFrame, col: str = "aqi_type", domain=fixed.AQI_CLASSES) -> DataFrame:
-    """A11, wide: one row with the row count of each class (0 when none).
-    The explicit value list keeps the pivot to a single aggregation."""
-    return df.groupBy().pivot(col, list(domain)).agg(F.count(F.lit(1))).fillna(0)
+    """A11, wide: one row with the row count of each class (0 when none), by
+    one aggregation."""
+    return df.agg(*[F.count_if(F.col(col) == F.lit(c)).alias(c) for c in domain])
 
 
 def category_mean(df: DataFrame, key: str = "weather", val: str = "aqi", digits: int = 2,

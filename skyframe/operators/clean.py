@@ -3,9 +3,9 @@ air-quality banding, ordering, typed projection.
 
 Everything is a column expression except the gap filling, which is an
 aggregate joined back.  The aggregate's keys are (district, calendar day),
-bounded by the number of districts x 366, so it is checkpointed, counted
-and broadcast: the big side is read twice but never shuffled.  Beyond the
-row bound it falls back to a shuffle join, which AQE splits when one key
+the number of districts x 366, so it is landed as a small table, which Spark
+broadcasts by its bytes: the big side is read twice but not shuffled.  Beyond
+Spark's threshold the join is a shuffle join, which AQE splits when one key
 is hot.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import band, lenient_double, month_day, strict_int
 from ..schema import DWD
-from .joins import DEFAULT_BROADCAST_ROWS, materialize_small
+from .joins import materialize_sized
 
 
 def cast_temperatures(df: DataFrame, cols=("max_t", "min_t"), on_null: str = "fail") -> DataFrame:
@@ -30,15 +30,12 @@ def cast_aqi(df: DataFrame, col: str = "aqi") -> DataFrame:
 
 
 def impute_group_mean(df: DataFrame, col: str = "aqi", keys: dict[str, Column] | None = None,
-                      digits: int = 0, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                      report: dict | None = None) -> DataFrame:
+                      digits: int = 0) -> DataFrame:
     """C3+C4: NULL := mean of the non-null values of its group, then the whole
     column is rounded half-to-even to ``digits``.  A group without any value
     stays NULL.  Rows whose key is NULL keep their own (rounded) value.
 
     ``keys`` maps key names to expressions; default (district, 'MM-DD').
-    ``report``, if given, receives ``means_broadcast``: whether the means were
-    broadcast (then the result keeps the input's partitioning and order).
     """
     if keys is None:
         keys = {"district": F.col("district"), "_md": month_day("year_mon_day")}
@@ -46,7 +43,7 @@ def impute_group_mean(df: DataFrame, col: str = "aqi", keys: dict[str, Column] |
     keyed = df.withColumns(tmp) if tmp else df
     names = list(keys)
     means = keyed.groupBy(*names).agg(F.avg(col).alias("_group_mean"))
-    means = materialize_small(means, max_broadcast_rows, report)
+    means = materialize_sized(means)
     joined = keyed.join(means, on=names, how="left")
     out = joined.withColumn(col, F.bround(F.coalesce(F.col(col), F.col("_group_mean")), digits))
     return out.drop("_group_mean", *tmp.keys())
@@ -68,14 +65,12 @@ def to_dwd(df: DataFrame, keep=()) -> DataFrame:
     return df.select(*cols, *keep)
 
 
-def clean(ods: DataFrame, keep=(), sort: bool = False, on_null: str = "fail",
-          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, report: dict | None = None) -> DataFrame:
-    """The composed ODS -> DWD job.  With ``report`` see
-    ``impute_group_mean``: when the means are broadcast the whole job is
-    narrow (row-wise expressions and a broadcast join)."""
+def clean(ods: DataFrame, keep=(), sort: bool = False, on_null: str = "fail") -> DataFrame:
+    """The composed ODS -> DWD job (row-wise expressions and the join of
+    the group means)."""
     df = cast_temperatures(ods, on_null=on_null)
     df = cast_aqi(df)
-    df = impute_group_mean(df, max_broadcast_rows=max_broadcast_rows, report=report)
+    df = impute_group_mean(df)
     df = classify_aqi(df)
     df = to_dwd(df, keep=keep)
     return sort_obs(df) if sort else df

@@ -1,48 +1,14 @@
-"""Join-side sizing: broadcast only what has been measured to be small.
+"""Landing of derived frames, and key filters.
 
-Two helpers, both with a way beyond the bound (a plain shuffle join that AQE
-may still split for skew):
-
-* ``bounded_broadcast`` — for a *scan* of a small table: a ``limit(n+1)``
-  count reads at most n+1 rows, then the side is hinted for broadcast.
-* ``materialize_small`` — for a *derived* frame (an aggregate): it is
-  computed once, checkpointed to the shared checkpoint folder (cutting its
-  lineage, so a lost executor does not re-run the aggregate), counted, and
-  only then broadcast.  The big side is never shuffled when the small side
-  fits.
+How a side of a join is sent is left to Spark, which goes by bytes: file
+sizes when it plans, shuffle sizes when adaptive execution plans again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..session import checkpoint_dir
-
-# A broadcast side above this many rows goes through a shuffle join instead.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      probe: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows.  ``probe`` is a
-    cheaper frame whose row count bounds ``df``'s (e.g. the fact side of a
-    join to a unique key); the count reads no columns of a plain scan."""
-    n = (probe if probe is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
-def within_bounds(checks: dict[str, tuple[DataFrame, int]]) -> dict[str, bool]:
-    """Several row-count checks in one job: for each name, whether its frame
-    has at most its bound of rows.  Each frame is read through a limit, so
-    no more than bound + 1 rows per frame are counted; only one small row
-    per frame reaches the driver."""
-    parts = [df.limit(bound + 1).select(F.lit(name).alias("_check")) for name, (df, bound) in checks.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    counts = {r["_check"]: r["n"] for r in u.groupBy("_check").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) <= bound for name, (df, bound) in checks.items()}
+from ..session import checkpoint_dir, scratch_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -52,23 +18,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      report: dict | None = None) -> DataFrame:
-    """Checkpoint a derived frame, count it, and hint it for broadcast only
-    when it has at most ``max_rows`` rows (``report['means_broadcast']``
-    records the decision when a dict is given)."""
-    m = materialize(df)
-    small = m.count() <= max_rows
-    if report is not None:
-        report["means_broadcast"] = small
-    return F.broadcast(m) if small else m
+def materialize_sized(df: DataFrame) -> DataFrame:
+    """Compute once as Parquet under the shared checkpoint folder.  A lost
+    executor re-reads it, and Spark knows its bytes: it broadcasts the frame
+    within ``spark.sql.autoBroadcastJoinThreshold`` and joins by shuffle
+    beyond it."""
+    path = scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keys_present(big: DataFrame, small: DataFrame, keys, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``small``.  When ``small`` is
-    within the row bound its keys are broadcast, so ``big`` is only scanned
-    and filtered (never shuffled); otherwise a plain semi join."""
+def keys_present(big: DataFrame, small: DataFrame, keys) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``small`` (a semi join; a ``big``
+    that is bucketed by the keys is not shuffled)."""
     keys = list(keys)
-    probe = small.select(*keys)
-    side = bounded_broadcast(probe, max_rows)
-    return big.join(side, keys, "left_semi")
+    return big.join(small.select(*keys), keys, "left_semi")

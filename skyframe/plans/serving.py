@@ -26,23 +26,19 @@ _LOCK = threading.RLock()  # builds nest (DWD build reads the ODS table)
 
 
 def serving_table(spark: SparkSession, key: str, build: Callable[[], DataFrame],
-                  partition_by=("district",), sort_by=("year_mon_day",), refresh: bool = False,
-                  keep_layout: Callable[[], bool] | bool = False) -> DataFrame:
+                  partition_by=("district",), sort_by=("year_mon_day",), spread_by=(), refresh: bool = False) -> DataFrame:
     """The table ``key`` of this application: built by ``build`` and written
     on first use (or when ``refresh``), then read back from storage.
 
-    ``keep_layout`` (a flag, or a callable asked after ``build``) says the
-    built rows already come laid out by (partition, sort) columns — e.g. a
-    narrow transformation of another serving table — so only a local sort
-    is done before the write, no range shuffle."""
+    ``spread_by`` columns (a row id) come last in the range key, so that the
+    rows of one hot (partition, sort) value are split over tasks."""
     k = (spark.sparkContext.applicationId, key)
     with _LOCK:
         hit = _SERVED.get(k)
         if hit is None or refresh:
             df = build()
             path = scratch_path(spark, "serving")
-            keep = keep_layout() if callable(keep_layout) else keep_layout
-            laid = df if keep else df.repartitionByRange(*partition_by, *sort_by)
+            laid = df.repartitionByRange(*partition_by, *sort_by, *spread_by)
             (laid.sortWithinPartitions(*partition_by, *sort_by)
                  .write.mode("error").partitionBy(*partition_by).parquet(path))
             # declared schema: partition values are not type-inferred; the

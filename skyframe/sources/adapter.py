@@ -20,25 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..operators.joins import within_bounds
 from ..session import sf_path
 
 ROW_ID = ["l_orderkey", "l_linenumber"]
 
 
 def spread(df: DataFrame, keys) -> DataFrame:
-    """Hash-repartition on ``keys`` when a scan yields fewer partitions than
-    the cluster has task slots (few large, unsplittable files); otherwise
-    leave the scan as is.  At scale the scan already has many splits and
-    this adds nothing; hashing on a key (not round-robin) keeps a re-run
-    task's output identical."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # sessions without RDD access: leave the scan as is
-        return df
-    return df.repartition(slots, *keys)
+    """Deal the rows of a scan of few large, unsplittable files out by a hash
+    of ``keys`` (which keeps a re-run task's output identical), into as many
+    partitions as the session shuffles into; adaptive execution joins small
+    ones."""
+    return df.repartition(*keys)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_on=None) -> DataFrame:
@@ -47,34 +39,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_on=None) -> D
     return spread(df, spread_on) if spread_on else df
 
 
-def supplier_district(spark: SparkSession, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """supplier -> region name, broadcast-ready when small.
-
-    Region and nation are fixed-size dimensions, supplier grows with the
-    data (1,000 rows per scale unit).  All three are row-count checked in
-    one job; each side is broadcast only within its bound, else joined by
-    shuffle.  The result has at most one row per supplier (the nation and
-    region keys are unique), so the supplier count bounds it.
-    """
+def supplier_district(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier -> region name; one row per supplier (nation and region keys are unique)."""
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    ok = within_bounds({"region": (reg, 10_000), "nation": (nat, 10_000), "supplier": (sup, broadcast_rows)})
-    reg_side = F.broadcast(reg) if ok["region"] else reg
-    nat_reg = nat.join(reg_side, nat.n_regionkey == reg.r_regionkey).select("n_nationkey", "r_name")
-    nat_side = F.broadcast(nat_reg) if ok["nation"] else nat_reg
-    sd = (sup.join(nat_side, sup.s_nationkey == nat_reg.n_nationkey)
-          .select("s_suppkey", F.col("r_name").alias("district")))
-    return F.broadcast(sd) if ok["supplier"] else sd
+    nat_reg = nat.join(reg, nat.n_regionkey == reg.r_regionkey).select("n_nationkey", "r_name")
+    return (sup.join(nat_reg, sup.s_nationkey == nat_reg.n_nationkey)
+            .select("s_suppkey", F.col("r_name").alias("district")))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ODS-shaped rows (all text) + row identity.
 
-    lineitem joins part and supplier on their keys.  Part is left to Spark's
-    size-based choice (file statistics, then AQE at runtime); supplier is
-    broadcast after a row-count check.  At full scale both become shuffle
-    joins on the key.
+    lineitem joins part and supplier on their keys; how each side is sent is
+    Spark's choice by bytes (file statistics, then AQE at runtime).  At full
+    scale both become shuffle joins on the key.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate")

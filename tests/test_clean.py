@@ -120,12 +120,11 @@ def test_gap_filling_same_beyond_broadcast_bound(spark, sf_dir):
     small = C.impute_group_mean(staged)
     cols = ["l_orderkey", "l_linenumber", "district", "year_mon_day", "aqi"]
     a = sorted(map(tuple, small.select(*cols).collect()), key=str)
-    # beyond the bound no hint is given; with Spark's own threshold off too,
-    # the join is a shuffle join
+    # beyond Spark's threshold the join is a shuffle join
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = C.impute_group_mean(staged, max_broadcast_rows=1)
+        big = C.impute_group_mean(staged)
         plan = plan_text(big, "simple")
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
         b = sorted(map(tuple, big.select(*cols).collect()), key=str)

@@ -128,7 +128,7 @@ def test_bucketed_store_check_shuffles_only_incoming(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_text(keys_present(spark.table(store).select("district", "year_mon_day"), incoming,
-                                      ["district", "year_mon_day"], max_rows=0), "simple")
+                                      ["district", "year_mon_day"]), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan

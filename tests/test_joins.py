@@ -1,41 +1,22 @@
-"""Size-checked broadcasts: within the bound the side is broadcast, beyond
-it the join is a shuffle join."""
+"""Landed frames are broadcast by their bytes; key filters keep rows."""
 
 from plan_text import plan_text
-from skyframe.operators.joins import bounded_broadcast, materialize_small, within_bounds
+from skyframe.operators.joins import keys_present, materialize_sized
 
 
-def _join_plan(spark, side):
+def test_a_landed_frame_is_broadcast_by_its_bytes(spark):
     big = spark.range(0, 50_000).withColumnRenamed("id", "k")
-    return plan_text(big.join(side, "k"), "simple")
-
-
-def test_bounded_broadcast_both_ways(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    agg = materialize_sized(spark.range(0, 1_000).selectExpr("id % 50 AS k").groupBy("k").count())
+    assert "BroadcastHashJoin" in plan_text(big.join(agg, "k"), "simple")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        small = spark.range(0, 100).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _join_plan(spark, bounded_broadcast(small, 1_000))
-        assert "BroadcastHashJoin" not in _join_plan(spark, bounded_broadcast(small, 10))
-        agg = spark.range(0, 1_000).selectExpr("id % 50 AS k").groupBy("k").count()
-        assert "BroadcastHashJoin" in _join_plan(spark, materialize_small(agg, 100))
-        assert "BroadcastHashJoin" not in _join_plan(spark, materialize_small(agg, 10))
+        assert "SortMergeJoin" in plan_text(big.join(agg, "k"), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_within_bounds_one_job(spark):
-    a = spark.range(0, 5)
-    b = spark.range(0, 500)
-    got = within_bounds({"a": (a, 10), "b": (b, 10), "empty": (spark.range(0), 0)})
-    assert got == {"a": True, "b": False, "empty": True}
 
 
-def test_keys_present_filters_big_side_by_broadcast(spark):
-    from skyframe.operators.joins import keys_present
+def test_keys_present(spark):
     big = spark.range(0, 10_000).selectExpr("id % 100 AS k", "id AS v")
-    small = spark.createDataFrame([(3,), (7,), (7,)], "k long")
-    out = keys_present(big, small, ["k"], max_rows=10)
+    small = spark.createDataFrame([(3,), (7,), (7,), (None,)], "k long")
+    out = keys_present(big, small, ["k"])
     assert sorted({r.k for r in out.collect()}) == [3, 7] and out.count() == 200
-    assert "BroadcastHashJoin" in plan_text(out, "simple")

@@ -25,11 +25,16 @@ def test_built_once_and_refreshed(spark):
     assert "PartitionFilters" in plan and "001" in plan
 
 
-def test_keep_layout_skips_the_range_shuffle(spark):
+def test_a_hot_value_is_split_by_the_row_id(spark):
     import glob
-    src = spark.createDataFrame([("a", "2016-01-02"), ("a", "2016-01-01"), ("b", "2016-01-01")],
-                                "district string, year_mon_day string")
-    kept = serving.serving_table(spark, "t-keep", lambda: src, keep_layout=lambda: True)
-    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, src.collect()))
-    path = serving._SERVED[(spark.sparkContext.applicationId, "t-keep")][0]
-    assert glob.glob(path.replace("file:", "") + "/district=a/*.parquet")
+    src = spark.range(0, 20_000).selectExpr("'a' AS district", "'2016-01-01' AS year_mon_day", "id")
+    got = serving.serving_table(spark, "t-hot", lambda: src, spread_by=("id",))
+    assert got.count() == 20_000
+    path = serving._SERVED[(spark.sparkContext.applicationId, "t-hot")][0].replace("file:", "")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        serving.serving_table(spark, "t-hot", lambda: src, spread_by=("id",), refresh=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    path = serving._SERVED[(spark.sparkContext.applicationId, "t-hot")][0].replace("file:", "")
+    assert len(glob.glob(path + "/district=a/*.parquet")) > 1
