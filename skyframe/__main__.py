@@ -7,10 +7,12 @@
     python -m skyframe deadletters --attempts NAME --out PATH [--status-col status] [--fail 403]
     python -m skyframe view --dwd NAME --view table|trend|map|pie|parallel|bar
                             [--place 朝阳区] [--period 2016-01] [--labels 最高温 天气]
-                            [--out PATH] [--show N]
+                            [--out PATH] [--show N] [--any-place]
 
 Tables are catalog names (optionally with a ``path`` for external tables);
-``view`` writes its frame as Parquet to ``--out`` or shows the first rows.
+``view`` writes its whole frame as Parquet to ``--out``; without it, it prints the
+first rows and says so.  ``--place`` takes the offered places; ``--any-place`` lets
+any stored district through.
 The session comes from ``spark-submit``/environment settings; on a local
 run the tuned local session is used.
 """
@@ -40,8 +42,11 @@ def _session() -> SparkSession:
 
 
 def _view(spark, args):
+    from .operators.query import check_place
     from .plans import dashboard as D
     dwd = spark.table(args.dwd)
+    if not args.any_place:
+        check_place(args.place)
     if args.view == "table":
         return D.data_table(dwd, args.place, args.period, args.labels)
     if args.view == "trend":
@@ -95,6 +100,7 @@ def main(argv=None) -> int:
     v.add_argument("--labels", nargs="*", default=["最高温", "最低温", "天气", "风向", "空气质量指数", "空气质量"])
     v.add_argument("--out")
     v.add_argument("--show", type=int, default=20)
+    v.add_argument("--any-place", action="store_true")
     args = p.parse_args(argv)
 
     spark = _session()
@@ -121,6 +127,7 @@ def main(argv=None) -> int:
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
+            print(f"at most {args.show} rows; --out writes all of them")
             df.show(args.show, truncate=False)
     return 0
 

@@ -13,7 +13,8 @@ from .. import fixed
 
 ColumnOrName = Column | str
 
-_PERIOD = re.compile(r"^\d{4}(-\d{2}(-\d{2})?)?$")
+_PERIOD = re.compile(r"[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?")
+_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -42,9 +43,10 @@ def strict_int(c: ColumnOrName, unit: str = fixed.DEGREE, on_null: str = "fail",
 
 
 def lenient_double(c: ColumnOrName) -> Column:
-    """Text to double; unparsable text ('-', '') and NaN become NULL."""
-    v = _c(c).try_cast("double")
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    """Plain decimal text to double (blanks around it allowed); any other text
+    ('-', '', '42d', '0x1p3') and NaN become NULL."""
+    text = _c(c).cast("string")
+    return F.when(text.rlike(_DECIMAL), F.trim(F.regexp_replace(text, r"\s", "")).try_cast("double"))
 
 
 def month_day(c: ColumnOrName = "year_mon_day") -> Column:
@@ -122,7 +124,7 @@ def place_name(place: str, suffix: str = fixed.PLACE_SUFFIX) -> str:
 def check_period(period: str | None) -> str:
     """Validate a period text: '', 'YYYY', 'YYYY-MM' or 'YYYY-MM-DD'."""
     p = period or ""
-    if p and not _PERIOD.match(p):
+    if p and not _PERIOD.fullmatch(p):
         raise ValueError(f"period must be '', YYYY, YYYY-MM or YYYY-MM-DD, got {period!r}")
     return p
 

@@ -35,6 +35,13 @@ def project(df: DataFrame, labels, display: bool = True) -> DataFrame:
     return df.select(*[F.col(c).alias(lab if display else c) for c, lab in columns_for(labels)])
 
 
+def check_place(place: str | None, places=fixed.PLACES) -> str | None:
+    """Q2: a place that is offered ('朝阳区', or '朝阳' without its suffix)."""
+    if place is not None and place not in places and place + fixed.PLACE_SUFFIX not in places:
+        raise ValueError(f"unknown place {place!r}; choose from {list(places)}")
+    return place
+
+
 def in_district(df: DataFrame, place: str | None, col: str = "district") -> DataFrame:
     """Q2: rows of one place ('朝阳区' or '朝阳'); None keeps all."""
     if place is None:

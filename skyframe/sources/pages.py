@@ -26,10 +26,12 @@ CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed pages.  ``fmt='text'`` reads one page per file
-    (``wholetext``), the file path standing in for the URL."""
+    (``wholetext``), the file path standing in for the URL.  Spark reports
+    paths URL-encoded, so they are decoded once."""
     if fmt == "text":
+        name = F.input_file_name()
         return (spark.read.text(path, wholetext=True)
-                .select(F.input_file_name().alias("url"), F.col("value").alias("html")))
+                .select(F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name).alias("url"), F.col("value").alias("html")))
     return spark.read.schema(PAGES).parquet(path) if fmt == "parquet-strict" else spark.read.parquet(path)
 
 

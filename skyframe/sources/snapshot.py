@@ -2,7 +2,9 @@
 
 A snapshot is a fresh directory holding the data and a one-row manifest
 (row count and an order-insensitive content checksum: the exact sum of a
-64-bit hash of every row).  Restore reads the data back and, when asked,
+64-bit hash of every row, with NULLs marked).  The manifest is observed on
+the source rows while they are written, so a write that loses or changes
+rows does not verify.  Restore reads the data back and, when asked,
 recomputes and checks the manifest.  All work is distributed aggregation;
 only the one-row manifest is seen by the driver.
 """
@@ -11,26 +13,35 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: (n_rows, checksum)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)"))
-                  .cast("string").alias("checksum"))
+    return df.agg(*_measures(df))
+
+
+def _measures(df: DataFrame) -> list[Column]:
+    """Row count and checksum; the hash skips NULLs, so flags say where they are."""
+    h = F.xxhash64(*[x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("checksum")]
 
 
 def backup(df: DataFrame, base: str) -> str:
     """Write a snapshot under ``base``; returns its path."""
     path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex[:12]}"
-    df.write.mode("error").parquet(f"{path}/data")
-    df.sparkSession.read.parquet(f"{path}/data").transform(fingerprint) \
-        .coalesce(1).write.mode("error").json(f"{path}/manifest")
+    seen = Observation()
+    _write(df.observe(seen, *_measures(df)), f"{path}/data")
+    manifest = df.sparkSession.createDataFrame([(seen.get["n_rows"], seen.get["checksum"])], "n_rows long, checksum string")
+    manifest.coalesce(1).write.mode("error").json(f"{path}/manifest")
     return path
 
 
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("error").parquet(path)
+
+
 def restore(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
     """Read a snapshot back; with ``verify`` the row count and checksum must
     equal the manifest."""

@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.joins import keys_present
+from ..operators.joins import keys_present, materialize
 from ..operators.ranking import first_per_key
 from ..session import scratch_path
 
 
 def _stored(spark: SparkSession, target: str) -> DataFrame | None:
+    """What is stored under ``target``; None where nothing is yet."""
     try:
         return spark.read.parquet(target)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -35,12 +38,11 @@ def make_upsert(target: str, key, order):
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        firsts = first_per_key(batch, key, order)
+        # read by the check of stored keys and by the write: computed once
+        firsts = materialize(first_per_key(batch.dropna(subset=key), key, order))
         stored = _stored(spark, target)
         if stored is not None:
-            # only stored keys that occur in this micro-batch matter: the
-            # batch's keys filter the stored table by broadcast (no shuffle
-            # of the stored side), then the anti join is between small sides
+            # only stored keys that occur in this micro-batch matter
             earlier = stored.filter(F.col("batch_id") < F.lit(batch_id)).select(*key)
             hits = keys_present(earlier, firsts, key)
             firsts = firsts.join(hits, key, "left_anti")
@@ -81,7 +83,6 @@ def make_page_upsert(target: str, rejected: str, mode: str = "atomic"):
     """foreachBatch body for landed pages: extract, route and accept rows
     against what earlier batches stored (S3 -> S4 -> S6/S7)."""
     from ..operators.ingest import ingest_pages
-    from ..operators.joins import materialize
     from ..schema import ODS
 
     def upsert(batch: DataFrame, batch_id: int) -> None:

@@ -122,3 +122,22 @@ def test_shares_sum_to_one(spark, sf_dir):
     import __spark_entry__ as E
     total = E.queries()["category_share"](spark, sf_dir).agg(F.sum("share")).first()[0]
     assert abs(total - 1.0) < 1e-9
+
+
+def test_lenient_double_takes_plain_decimals_only(spark):
+    from skyframe.functions.scalars import lenient_double
+    cases = {"42": 42.0, " 7 ": 7.0, "-1.5": -1.5, "1e2": 100.0, ".5": 0.5, "5.": 5.0, "42d": None, "42f": None, "0x1p3": None, "-": None, "": None, "NaN": None, "inf": None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.v for r in df.select("t", lenient_double("t").alias("v")).collect()} == cases
+
+
+def test_periods_and_places_are_checked():
+    import pytest
+    from skyframe.functions.scalars import check_period
+    from skyframe.operators.query import check_place
+    for bad in ("2016\n", "２０１６", "2016-1"):
+        with pytest.raises(ValueError):
+            check_period(bad)
+    assert check_place("朝阳区") == "朝阳区" and check_place("朝阳") == "朝阳" and check_place(None) is None
+    with pytest.raises(ValueError):
+        check_place("ASIA区")

@@ -90,3 +90,35 @@ def test_stream_ingest_is_incremental_and_replay_safe(spark, sf_dir, tmp_path):
     # first batch's rows are kept for the keys it held
     kept = out3.join(out1.select("event_id"), "event_id").count()
     assert kept == n1
+
+
+def test_a_write_that_loses_or_moves_values_does_not_verify(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.sql import functions as F
+    from skyframe.sources import snapshot
+    df = spark.createDataFrame([(1, None), (2, 3), (None, 4)], "a int, b int")
+    good = snapshot._write
+    assert snapshot.restore(spark, snapshot.backup(df, str(tmp_path))).count() == 3
+    for harm in (lambda d: d.filter("a IS NULL OR a <> 2"), lambda d: d.select(F.coalesce("a", "b").alias("a"), F.when(F.col("a").isNotNull(), F.col("b")).alias("b"))):
+        # the observed rows are the source's; what reaches the files is not
+        monkeypatch.setattr(snapshot, "_write", lambda d, p, harm=harm: (d.write.format("noop").mode("overwrite").save(), good(harm(df), p)))
+        path = snapshot.backup(df, str(tmp_path))
+        with pytest.raises(ValueError):
+            snapshot.restore(spark, path)
+
+
+def test_staged_texts_keep_blanks_and_null_marks(spark, tmp_path):
+    from skyframe.sources.staged import read_staged, stage_text
+    rows = [("  lead and trail  ",), (" ",), ("tab\t",), ("\\N",), ("\\N\\Nx",), ("\\Nabc",), ("",), (None,), ('say "hi"',)]
+    df = spark.createDataFrame(rows, "t string")
+    back = read_staged(spark, stage_text(df, str(tmp_path / "s")), df.schema)
+    assert sorted(map(str, (r.t for r in back.collect()))) == sorted(str(r[0]) for r in rows)
+
+
+def test_text_pages_keep_their_address(spark, tmp_path):
+    from skyframe import fixed
+    from skyframe.functions.scalars import url_param
+    from skyframe.sources.pages import read_pages
+    (tmp_path / "history?areaInfo%5BareaId%5D=60198&x=1").write_text("<tr></tr>")
+    page = read_pages(spark, str(tmp_path), "text").select("url", url_param("url", fixed.AREA_KEY, fixed.AREA_ID_WIDTH).alias("area")).first()
+    assert page.area == "60198"
