@@ -46,7 +46,7 @@ def register(name: str, sql: str | None):
 def ods(spark: SparkSession, sf: str) -> DataFrame:
     """The staged (ODS) table: the source rows landed once per application,
     so cleaning reads a table instead of re-running the source joins."""
-    return serving_table(spark, f"ods:{sf}", lambda: observations(spark, sf))
+    return serving_table(spark, f"ods:{sf}", lambda: observations(spark, sf), spread_by=ROW_ID)
 
 
 def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,13 +55,8 @@ def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dwd(spark: SparkSession, sf: str) -> DataFrame:
-    """The cleaned table as dashboards read it: built once per application.
-    When the group means are broadcast the clean is narrow, so the rows keep
-    the staged table's (district, date) layout and are written without a
-    second range shuffle."""
-    info: dict = {}
-    return serving_table(spark, f"dwd:{sf}", lambda: C.clean(ods(spark, sf), keep=ROW_ID, report=info),
-                         keep_layout=lambda: bool(info.get("means_broadcast")))
+    """The cleaned table as dashboards read it: built once per application."""
+    return serving_table(spark, f"dwd:{sf}", lambda: C.clean(ods(spark, sf), keep=ROW_ID), spread_by=ROW_ID)
 
 
 # ---------------------------------------------------------------- oracle CTEs
@@ -113,6 +108,23 @@ def q_lenient_cast(spark, sf):
     return C.cast_aqi(ods(spark, sf)).select(*ROW_ID, "aqi")
 
 
+_ODD_SQL = ("CASE l_linenumber % 7 WHEN 0 THEN aqi || 'd' WHEN 1 THEN '0x' || aqi || 'p3' WHEN 2 THEN ' ' || aqi || ' ' "
+            "WHEN 3 THEN aqi || '.5e1' WHEN 4 THEN 'NaN' WHEN 5 THEN aqi || 'f' ELSE aqi END")
+
+
+@register("lenient_cast_text", WITH_OBS + f""", t AS (SELECT l_orderkey, l_linenumber, {_ODD_SQL} AS text FROM obs)
+SELECT l_orderkey, l_linenumber, text,
+       CASE WHEN regexp_full_match(trim(text), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[0-9]+)?') THEN CAST(trim(text) AS DOUBLE) END AS aqi
+FROM t""")
+def q_lenient_cast_text(spark, sf):
+    o, n = ods(spark, sf), F.col("l_linenumber") % 7
+    text = (F.when(n == 0, F.concat("aqi", F.lit("d"))).when(n == 1, F.concat(F.lit("0x"), "aqi", F.lit("p3")))
+             .when(n == 2, F.concat(F.lit(" "), "aqi", F.lit(" "))).when(n == 3, F.concat("aqi", F.lit(".5e1")))
+             .when(n == 4, F.lit("NaN")).when(n == 5, F.concat("aqi", F.lit("f"))).otherwise(F.col("aqi")))
+    odd = o.select(*ROW_ID, text.alias("text"), text.alias("aqi"))
+    return C.cast_aqi(odd)
+
+
 @register("impute_mean", WITH_TYPED + "\nSELECT l_orderkey, l_linenumber, district, year_mon_day, aqi FROM filled")
 def q_impute_mean(spark, sf):
     df = C.impute_group_mean(C.cast_aqi(ods(spark, sf)))
@@ -432,15 +444,20 @@ def _orders_split(spark, sf):
 
 
 @register("batch_atomic", f"""
-WITH {_ORD_INC},
-f AS (SELECT *, count(*) OVER (PARTITION BY o_custkey, yr, mo) AS n_in_batch,
-             min(yr) OVER (PARTITION BY o_custkey, mo) AS first_yr FROM inc),
-bad AS (SELECT DISTINCT o_custkey, yr FROM f
-        WHERE n_in_batch > 1 OR first_yr < yr
-           OR EXISTS (SELECT 1 FROM tgt WHERE tgt.o_custkey = f.o_custkey AND tgt.mo = f.mo))
-SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice,
-       NOT EXISTS (SELECT 1 FROM bad WHERE bad.o_custkey = inc.o_custkey AND bad.yr = inc.yr) AS accepted
-FROM inc""")
+WITH RECURSIVE {_ORD_INC},
+b AS (SELECT o_custkey, yr, list(DISTINCT mo) AS months, count(*) <> count(DISTINCT mo) AS twice,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY yr) AS turn
+      FROM inc GROUP BY o_custkey, yr),
+s AS (SELECT c.o_custkey, CAST(0 AS BIGINT) AS turn, CAST(NULL AS BIGINT) AS yr, false AS stored,
+             coalesce(t.held, []) AS held
+      FROM (SELECT DISTINCT o_custkey FROM b) c
+      LEFT JOIN (SELECT o_custkey, list(mo) AS held FROM tgt GROUP BY o_custkey) t ON t.o_custkey = c.o_custkey
+      UNION ALL
+      SELECT b.o_custkey, b.turn, b.yr, NOT b.twice AND NOT list_has_any(s.held, b.months),
+             CASE WHEN b.twice OR list_has_any(s.held, b.months) THEN s.held ELSE list_concat(s.held, b.months) END
+      FROM s JOIN b ON b.o_custkey = s.o_custkey AND b.turn = s.turn + 1)
+SELECT o_orderkey, inc.o_custkey, o_orderdate, o_totalprice, s.stored AS accepted
+FROM inc JOIN s ON s.o_custkey = inc.o_custkey AND s.yr = inc.yr""")
 def q_batch_atomic(spark, sf):
     target, incoming = _orders_split(spark, sf)
     m = ingest.mark_batches(target, incoming, batch=["o_custkey", "yr"], key=["o_custkey", "mo"], batch_order=["yr"])
@@ -467,7 +484,7 @@ def q_tagged_union(spark, sf):
     cust = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     supp = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     Q.register_views(spark, {"sf_customer": cust, "sf_supplier": supp})
-    names = ingest.list_tables(spark, prefix="sf_cu") + ingest.list_tables(spark, prefix="sf_su")
+    names = [n for n in ingest.list_tables(spark, prefix="sf_") if n in ("sf_customer", "sf_supplier")]
     u = ingest.union_catalog(spark, names, tag_col="source")
     return u.withColumn("source", F.regexp_replace("source", "^sf_", ""))
 
@@ -479,6 +496,17 @@ def q_dedupe(spark, sf):
     return ingest.dedupe(dwd(spark, sf), ["district", "year_mon_day"], ROW_ID + TIE_BREAK)
 
 
+@register("dedupe_null_order", WITH_DWD + f""",
+n AS (SELECT *, CASE WHEN l_linenumber > 1 THEN l_orderkey END AS seen FROM dwd)
+SELECT {DWD_COLS}, seen FROM n
+QUALIFY row_number() OVER (PARTITION BY district, year_mon_day
+                           ORDER BY seen NULLS LAST, {', '.join(ROW_ID + TIE_BREAK)}) = 1""")
+def q_dedupe_null_order(spark, sf):
+    # rows without an order value never win over rows that have one
+    rows = dwd(spark, sf).withColumn("seen", F.when(F.col("l_linenumber") > 1, F.col("l_orderkey")))
+    return ingest.dedupe(rows, ["district", "year_mon_day"], ["seen"] + ROW_ID + TIE_BREAK)
+
+
 _RULES_SQL = """
   list_filter([
     CASE WHEN NOT coalesce(TRY_CAST(replace(max_t, '°', '') AS INTEGER) IS NOT NULL, false) THEN 'max_t_int' END,
@@ -521,6 +549,28 @@ def q_stage_sanitize(spark, sf):
     return staged.read_staged(spark, path, docs.schema)
 
 
+@register("stage_edges", r"""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '\N' || lang WHEN 2 THEN '\N' ELSE '' END AS mark,
+       '  ' || regexp_replace(text, '[\n\r\x01]', '', 'g') || chr(9) AS text FROM documents""")
+def q_stage_edges(spark, sf):
+    docs = read_table(spark, sf, "documents", spread_on=["doc_id"])
+    n = F.col("doc_id") % 4
+    mark = F.when(n == 1, F.concat(F.lit("\\N"), "lang")).when(n == 2, F.lit("\\N")).when(n == 3, F.lit(""))
+    rows = docs.select("doc_id", mark.alias("mark"), F.concat(F.lit("  "), "text", F.lit("\t")).alias("text"))
+    path = staged.stage_text(rows, scratch_path(spark, "staged-documents"))
+    return staged.read_staged(spark, path, rows.schema)
+
+
+@register("append_twice", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def q_append_twice(spark, sf):
+    db = tables.ensure_database(spark, "skyframe_scratch", location=scratch_path(spark, "db-scratch"))
+    sup = read_table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    name = tables.ensure_table(spark, f"{db}.appended_{uuid.uuid4().hex[:8]}", sup.schema, path=scratch_path(spark, "table-appended"))
+    for _ in range(2):
+        tables.write_table(sup, name, mode="append")
+    return tables.read_table(spark, name)
+
+
 @register("table_roundtrip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def q_table_roundtrip(spark, sf):
     db = tables.ensure_database(spark, "skyframe_scratch", location=scratch_path(spark, "db-scratch"))
@@ -542,17 +592,26 @@ SELECT event_id, ts, user_id, event_type, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")
 def q_stream_ingest(spark, sf):
     schema = read_table(spark, sf, "events").schema
-    return ingest_stream(spark, f"{sf}/events*.parquet", schema, key=["user_id", "event_type"],
-                         order=["ts", "event_id"], timeout_s=600)
+    return ingest_stream(spark, f"{sf}/events*.parquet", schema, key=["user_id", "event_type"], order=["ts", "event_id"])
 
 
-# ------------------------------------------------- dashboard views by grain
+_WAVE = "purchase"
 
-@register("trend_day", WITH_DWD + f"\nSELECT year_mon_day, max_t, min_t, {MEAN_T} AS mean_t FROM dwd WHERE false")
-def q_trend_day(spark, sf):
-    # a single day has no trend: the view shows a message, the frame is empty
-    return charts.trend(dwd(spark, sf), "ASIA区", DAY)
 
+@register("stream_waves", f"""
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type <> '{_WAVE}', ts, event_id) = 1""")
+def q_stream_waves(spark, sf):
+    # a first wave of one type, then all events: stored keys stay as the first wave left them
+    events = read_table(spark, sf, "events")
+    landing, target, state = (scratch_path(spark, n) for n in ("landing", "stream-target", "stream-ckpt"))
+    for wave in (events.filter(F.col("event_type") == _WAVE), events):
+        wave.write.mode("append").parquet(landing)
+        out = ingest_stream(spark, landing, events.schema, key=["user_id"], order=["ts", "event_id"], target=target, checkpoint=state)
+    return out
+
+
+# ------------------------------------------------- dashboard views by grain
 
 @register("pie_day", WITH_DWD + f"""
 SELECT weather, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM dwd
