@@ -11,9 +11,10 @@ work.  These helpers avoid per-key windows:
   partitioning on the full order splits hot keys across tasks; each task
   numbers its sorted rows; per-partition counts turn into offsets (one row
   per partition, a proven bound) that are broadcast.  The numbered rows are
-  checkpointed to the shared checkpoint folder first, so counts and numbers
-  come from the same data (two plans over one range exchange would sample
-  their bounds separately) and a lost executor does not re-run the sort.
+  landed as Parquet in the shared checkpoint folder first, so counts and
+  numbers come from the same data (two plans over one range exchange would
+  sample their bounds separately), the count reads one column, and a lost
+  executor does not re-run the sort.
 * ``next_in_group`` — the next row of the same group in order (``lead``):
   rows range-partitioned and numbered as above; ``lead`` within each task
   (tasks are balanced by the range split) and, for each task's last row,
@@ -25,8 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import materialize
-
+from .joins import materialize_sized
 
 
 def _sort_col(c) -> Column:
@@ -67,12 +67,12 @@ def global_rank(df: DataFrame, order, name: str = "rank", num_partitions: int |
 
 def _range_numbered(df: DataFrame, order, num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted rows with their partition id and in-partition
-    id, checkpointed (see the module notes)."""
+    id, landed (see the module notes)."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_col(c) for c in order]
-    return materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                         .withColumn("_pid", F.spark_partition_id())
-                         .withColumn("_mid", F.monotonically_increasing_id()))
+    return materialize_sized(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                             .withColumn("_pid", F.spark_partition_id())
+                             .withColumn("_mid", F.monotonically_increasing_id()))
 
 
 def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_",
@@ -90,9 +90,11 @@ def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_",
     """
     group, values = list(group), list(values)
     carried = group + values
-    numbered = _range_numbered(df, group + list(order), num_partitions)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = _range_numbered(df, group + list(order), n)
     in_task = Window.partitionBy("_pid").orderBy("_mid")
-    local = numbered.select(
+    # each slice goes to a task of its own, by its number
+    local = numbered.repartitionById(n, "_pid").select(
         "*", *[F.lead(c).over(in_task).alias(f"_n_{c}") for c in carried],
         F.lead(F.lit(True)).over(in_task).alias("_nx"))
     local_index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)

@@ -77,18 +77,20 @@ def main() -> None:
                     m = ev.get("Task Metrics") or {}
                     read = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
                     task_reads[ev["Stage ID"]].append(read)
-    report = {}
+    report, stages = {}, defaultdict(list)
     for sid, reads in task_reads.items():
         group = stage_group.get(sid)
         total = sum(reads)
         if group is None or total == 0:
             continue
+        stage = {"stage": sid, "records": total, "max_task": max(reads), "tasks": len(reads),
+                 "tasks_with_rows": sum(r > 0 for r in reads), "max_share": round(max(reads) / total, 3)}
+        stages[group].append(stage)
         best = report.get(group)
-        if best is None or total > best["records"]:
-            report[group] = {"records": total, "max_task": max(reads), "tasks": len(reads),
-                             "max_share": round(max(reads) / total, 3)}
+        if best is None or (total, stage["max_share"]) > (best["records"], best["max_share"]):
+            report[group] = stage
     print(json.dumps({"app": app_id, "rows": rows, "partitions": parts, "hot_key_share": 0.333,
-                      "eventlog": logdir, "largest_shuffle_stage": report}, ensure_ascii=False, indent=1))
+                      "eventlog": logdir, "largest_shuffle_stage": report, "shuffle_stages": stages}, ensure_ascii=False, indent=1))
 
 
 if __name__ == "__main__":
