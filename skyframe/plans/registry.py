@@ -19,6 +19,7 @@ from .. import fixed
 from ..functions.scalars import domain_ordinal, leading_token, url_param
 from ..operators import charts, clean as C, ingest, query as Q
 from ..operators.ranking import global_rank
+from ..schema import ODS
 from ..session import scratch_path
 from ..sources import grid, pages as P, snapshot, staged, tables
 from ..sources.adapter import OBS_SQL, ROW_ID, observations, read_table
@@ -349,6 +350,53 @@ def q_page_rows(spark, sf):
     return P.extract_rows(pg, keys=("page_id",), row_re=_LINK_RE, skip_header=False, decode=False)
 
 
+_ROW = "<tr><td>%s %s</td><td>%s°</td><td>%s°</td><td>晴</td><td>%s</td><td>%s</td></tr>"
+_FETCHED = "http://weather.example/history?areaInfo%5BareaId%5D=%05d&areaInfo%5BareaType%5D=2&date%5Byear%5D=%d&date%5Bmonth%5D=1&try=%d"
+_DAY_WIND = ["东北风3级", "西风", "南风微风"]
+
+
+def _fetched_pages(spark, sf):
+    """A page per customer and year with a row per order date.  Every fifth customer's pages come
+    broken first and whole on the second try, every seventh one's are fetched twice."""
+    d = F.col("d")
+    day = F.dayofmonth(d)
+    aqi = F.when(day % 4 == 0, F.lit("-")).otherwise(F.concat((day * 10).cast("string"), F.lit(" 良")))
+    week = F.element_at(F.array(*[F.lit(w) for w in fixed.WEEKDAYS]), F.dayofweek(d))
+    wind = F.element_at(F.array(*[F.lit(w) for w in _DAY_WIND]), day % 3 + 1)
+    rows = (read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").cast("date").alias("d")).distinct()
+            .select("k", F.year(d).alias("y"), "d", F.format_string(_ROW, F.date_format(d, "yyyy-MM-dd"), week, day, day - F.month(d), wind, aqi).alias("row")))
+    pages = rows.groupBy("k", "y").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d", "row"))), lambda r: r["row"]), "\n").alias("rows"))
+    tries = F.when((F.col("k") % 5 == 0) | (F.col("k") % 7 == 0), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    pages = pages.withColumn("n", F.explode(tries))
+    broken = F.when((F.col("k") % 5 == 0) & (F.col("n") == 1), F.lit("<tr><td>error</td></tr>")).otherwise(F.lit(""))
+    head = "<table><tr>" + "".join(f"<th>{h}</th>" for h in fixed.PAGE_HEADER) + "</tr>"
+    html = F.to_json(F.struct(F.concat(F.lit(head), "rows", broken, F.lit("</table>")).alias("data")))
+    url = F.format_string(_FETCHED.replace("%5B", "%%5B").replace("%5D", "%%5D"), "k", "y", "n")
+    return pages.select(url.alias("url"), html.alias("html"))
+
+
+@register("page_ingest", f"""
+WITH r AS (SELECT DISTINCT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
+n AS (SELECT k, year(d) AS y, d, day(d) AS dd, row_number() OVER (PARTITION BY k, year(d) ORDER BY d) AS row_no FROM r),
+t AS (SELECT * FROM n, (VALUES (1), (2)) v(try) WHERE try = 1 OR k % 5 = 0 OR k % 7 = 0),
+a AS (SELECT k, y, try, row_no, 'D' || k AS district, strftime(d, '%Y-%m-%d') AS year_mon_day,
+             CASE WHEN dd % 4 = 0 THEN 'short' ELSE 'ok' END AS status, try = CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS accepted,
+             ['东北风', '西风', '南风'][dd % 3 + 1] AS wind, dd || '°' AS max_t, (dd - month(d)) || '°' AS min_t,
+             CASE WHEN dd % 4 <> 0 THEN CAST(dd * 10 AS VARCHAR) END AS aqi, CASE WHEN dd % 4 <> 0 THEN '良' END AS aqi_type FROM t
+      UNION ALL
+      SELECT k, y, 1, max(row_no) + 1, 'D' || k, NULL, 'bad', false, NULL, NULL, NULL, NULL, NULL FROM n WHERE k % 5 = 0 GROUP BY k, y)
+SELECT printf('{_FETCHED.replace("%5B", "%%5B").replace("%5D", "%%5D")}', k, y, try) AS url, CAST(row_no AS INTEGER) AS row_no, status, accepted, district,
+       year_mon_day, max_t, min_t, wind, aqi, aqi_type FROM a""")
+def q_page_ingest(spark, sf):
+    path = scratch_path(spark, "pages-fetched")
+    _fetched_pages(spark, sf).write.parquet(path)
+    areas = read_table(spark, sf, "orders").select("o_custkey").distinct().select(
+        F.format_string("%05d", "o_custkey").alias("area_id"), F.concat(F.lit("D"), F.col("o_custkey").cast("string")).alias("district"))
+    nothing = spark.createDataFrame([], ODS)
+    rows = ingest.ingest_pages(P.read_pages(spark, path), nothing, areas=areas, marked=True)
+    return rows.select("url", "row_no", "status", "accepted", "district", "year_mon_day", "max_t", "min_t", "wind", "aqi", "aqi_type")
+
+
 _REC_SQL = ("CASE WHEN aqi = '-' THEN concat_ws(',', year_mon_day, week, max_t, min_t, weather, wind, aqi) "
             "ELSE concat_ws(',', year_mon_day, week, max_t, min_t, weather, wind, aqi, '良') END")
 
