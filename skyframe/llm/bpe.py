@@ -257,6 +257,27 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return in_arrow(rows, run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
+def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, text) of every row of ``docs``: its whole text encoded, and its ids decoded, by one
+    Python worker per task (so one vocabulary and one word cache are held, not two).
+    Cases are those of ``bpe_encode`` and ``bpe_decode``."""
+    source = Source(docs.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(source)
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                found = vocabulary.encode([t or "" for t in part.column("text").to_pylist()])
+                at = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
+                flat = np.frombuffer(b"".join(found), np.int32)
+                texts = pa.array(vocabulary.decode(flat, at), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)), texts], names=["id", "ids", "text"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return in_arrow(rows, run, f"id {kind}, ids array<int>, text string").select(F.col("id").alias(id_col), "ids", "text")
+
+
 def bpe_decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, ids, text) of every row of ``tokens``; null ids decode to the empty text."""
     source = Source(tokens.sparkSession, path)

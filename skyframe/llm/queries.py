@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.adapter import read_table
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_round_trip
 from .fingerprint import as_text, edited_fingerprints, likeness
 from .langid import languages
 from .mixing import mix
@@ -95,8 +95,7 @@ def op7(spark, sf):
 
 @register("op8_bpe")
 def op8(spark, sf):
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    out = bpe_decode(bpe_encode(read_table(spark, sf, "documents"), path), path)
+    out = bpe_round_trip(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("text", 256).alias("decoded_sha256"))
 

@@ -299,7 +299,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                  learn: Column | None = None, per_class: int = 1600, max_chars: int = 6000) -> tuple[DataFrame, str, str]:
+                  learn: Column | None = None, per_class: int = 1000, max_chars: int = 4000) -> tuple[DataFrame, str, str]:
     """``docs`` with a score and a prediction, and the names of these two columns.
 
     Learns from a sample of labelled documents for whose rows ``learn`` holds

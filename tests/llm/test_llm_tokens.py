@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from llm_cases import empty, frame, shingle_set, texts  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from skyframe.llm.bpe import Vocabulary, bpe_decode, bpe_encode  # noqa: E402
+from skyframe.llm.bpe import Vocabulary, bpe_decode, bpe_encode, bpe_round_trip  # noqa: E402
 from skyframe.llm.fingerprint import containment, edited_fingerprints, likeness, merged, with_sketch  # noqa: E402
 from skyframe.llm.queries import QUERIES  # noqa: E402
 from skyframe.llm.token_files import HashIndex, WordEncoder, encode_words, pack, read_token_files, token_files, unpack, write_token_files  # noqa: E402
@@ -59,7 +59,8 @@ def test_op8_equals_the_library(spark, sf_dir):
 def test_bpe_cases(spark):
     out = bpe_decode(bpe_encode(frame(spark), BYTE), BYTE).collect()
     assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(i), t or "") for i, t in texts())
-    assert bpe_decode(bpe_encode(empty(spark), BYTE), BYTE).collect() == []
+    assert sorted(map(str, bpe_round_trip(frame(spark), BYTE).collect())) == sorted(map(str, out))
+    assert bpe_decode(bpe_encode(empty(spark), BYTE), BYTE).collect() == [] and bpe_round_trip(empty(spark), BYTE).collect() == []
 
 
 def test_word_encoder_equals_the_library():
