@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .scratch import in_arrow, landed
+from .scratch import discard, in_arrow, landed
 from .words import U64, distinct, long_lists, mix, pieces, shingles, words
 
 SIDE, WIDTH = 9, 2
@@ -146,23 +146,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(tested.filter("linked"), "a", "b")
 
     # where that leaves several components, so is the member with the largest share of shared shingles
-    region = landed(_mixed(tables, found), "region")
-    own = (sets.join(region.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", F.explode("members").alias("s"))
+    first = landed(_mixed(tables, found), "region")
+    own = (sets.join(first.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", F.explode("members").alias("s"))
            .groupBy("s").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("node")).filter("times = 1")
            .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
-    region = landed(region.drop("component").join(own, "node", "left").withColumn("c", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"), "region")
-    centres = landed(region.groupBy("key").agg(F.max_by("node", F.struct(F.col("c") / F.col("n"), -F.col("node"))).alias("hub")), "hubs")
-    again = compared(_hub_pairs(region, centres).join(tested, ["a", "b"], "left_anti"))
+    known = landed(first.drop("component").join(own, "node", "left").withColumn("c", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"), "region")
+    centres = landed(known.groupBy("key").agg(F.max_by("node", F.struct(F.col("c") / F.col("n"), -F.col("node"))).alias("hub")), "hubs")
+    again = compared(_hub_pairs(known, centres).join(tested, ["a", "b"], "left_anti"))
     tested = tested.unionByName(again)
     back = tested.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", "linked")
     tested = landed(tested.unionByName(back).groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked")), "tested")
     found = components(tested.filter("linked AND a < b"), "a", "b")
 
     # members of different components that both bounds allow are compared pairwise
-    apart = _inside(_inside(_mixed(region, found), hubs, tested, "i1"), centres, tested, "i2")
+    apart = _inside(_inside(_mixed(known, found), hubs, tested, "i1"), centres, tested, "i2")
     last = compared(_across(apart, nodes, percent).distinct().join(tested, ["a", "b"], "left_anti"))
     links = tested.filter("linked AND a < b").select("a", "b").union(last.filter("linked").select("a", "b"))
     found = components(links, "a", "b")
+    discard(tables, hubs, first, known, centres, sets)
 
     names = nodes.select("d1", "d2", "node").join(found, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = sig.select("id", "n", "d1", "d2").join(names, ["d1", "d2"], "left")

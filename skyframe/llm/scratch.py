@@ -10,19 +10,31 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
 _shipped: set[str] = set()
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to a fresh shared path and read back."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete landed tables whose readers have all run: nothing that is still to run may depend on them."""
+    for table in tables:
+        jvm, sc = table.sparkSession._jvm, table.sparkSession.sparkContext
+        place = jvm.org.apache.hadoop.fs.Path(_paths.pop(table))
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:

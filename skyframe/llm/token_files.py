@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import Source
-from .scratch import in_arrow, landed
+from .scratch import discard, in_arrow, landed
 from .words import U64, pieces, words
 
 BLOCK_IDS = 1 << 18
@@ -323,6 +323,8 @@ def token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int, id_col:
 
     Null texts are empty and have the end id alone; null ids come first; an
     empty table gives no rows."""
-    write_token_files(landed(encode_words(docs, tokenizer, end_id, id_col, text_col), "tokens"), path, id_col)
+    tokens = landed(encode_words(docs, tokenizer, end_id, id_col, text_col), "tokens")
+    write_token_files(tokens, path, id_col)
+    discard(tokens)
     read = landed(read_token_files(docs.sparkSession, path, digest=True), "read")
     return starts(read).select(F.col("id").alias(id_col), "start", "n_tokens", "ids_crc32")
