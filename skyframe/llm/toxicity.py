@@ -215,11 +215,22 @@ def window_rows(lex: Lexicon, first: np.ndarray, size: np.ndarray) -> tuple[np.n
     return lex.of_word[first + np.where(mask, step, 0)], mask
 
 
+def joined(parts: list[Words]) -> Words:
+    """Words of several columns as those of one."""
+    parts = parts or [words(pa.array([], pa.string()))]
+    byte = np.cumsum([0] + [len(p.data) for p in parts])
+    word = np.cumsum([0] + [len(p.hashes) for p in parts])
+    cat = lambda name, shift: np.concatenate([getattr(p, name) + s for p, s in zip(parts, shift)])
+    return Words(np.concatenate([p.data for p in parts]), np.concatenate([*[p.at[:-1] + s for p, s in zip(parts, byte)], byte[-1:]]),
+                 cat("starts", byte), cat("ends", byte), np.concatenate([p.hashes for p in parts]),
+                 np.concatenate([*[p.offsets[:-1] + s for p, s in zip(parts, word)], word[-1:]]))
+
+
 def train(texts: list[str], labels: np.ndarray, passes: int = 6, per_pass: int = 8000, batch: int = 192, seed: int = 5) -> Network:
     """Network fitted to texts and their labels (0 or 1); ``per_pass`` windows at most are read per pass,
     half of them from toxic texts.  Every fourth text of either label is only used to calibrate the score."""
     net, r = Network(), np.random.default_rng(seed)
-    w = words(pa.array(texts, pa.string()))
+    w = joined([words(pa.array(texts[i:i + 64], pa.string())) for i in range(0, len(texts), 64)])
     first, size, text = windows(w.offsets)
     y = labels[text].astype(np.float32) if len(text) else np.zeros(0, np.float32)
     held = np.zeros(len(texts), bool)
