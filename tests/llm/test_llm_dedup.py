@@ -121,3 +121,10 @@ def test_a_very_common_line_does_not_hide_a_passage(spark):
     rows += [(200, prose(503, 40) + " " + passage), (201, passage + " " + prose(504, 40))]
     got = {(r.doc_id, r.match_id) for r in near_passages(frame(spark, rows)).collect()}
     assert got == {(201, 200)}
+
+
+def test_every_copy_of_a_passage_in_a_text_is_found(spark):
+    passage = prose(701, 80)
+    rows = [(1, prose(702, 50) + " " + passage + " " + prose(703, 300)), (2, prose(704, 60) + " " + passage + " " + prose(705, 90) + " " + passage + " " + prose(706, 20))]
+    got = sorted((r.doc_id, r.start_word, r.end_word, r.match_start) for r in near_passages(frame(spark, rows)).collect())
+    assert got == [(2, 60, 140, 50), (2, 230, 310, 50)]
