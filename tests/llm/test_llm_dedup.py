@@ -128,3 +128,12 @@ def test_every_copy_of_a_passage_in_a_text_is_found(spark):
     rows = [(1, prose(702, 50) + " " + passage + " " + prose(703, 300)), (2, prose(704, 60) + " " + passage + " " + prose(705, 90) + " " + passage + " " + prose(706, 20))]
     got = sorted((r.doc_id, r.start_word, r.end_word, r.match_start) for r in near_passages(frame(spark, rows)).collect())
     assert got == [(2, 60, 140, 50), (2, 230, 310, 50)]
+
+
+def test_a_near_copy_behind_an_exact_passage_is_found(spark):
+    exact, other = prose(711, 200), prose(712, 60).split()
+    changed = [w if i != 30 else "changedword" for i, w in enumerate(other)]
+    rows = [(1, " ".join([prose(713, 40), *other, prose(714, 120), exact, prose(715, 50)])),
+            (2, " ".join([prose(716, 70), exact, *changed, prose(717, 80)]))]
+    got = sorted((r.doc_id, r.start_word, r.end_word, r.match_start) for r in near_passages(frame(spark, rows)).collect())
+    assert got == [(2, 70, 270, 220), (2, 270, 330, 40)]
