@@ -137,3 +137,16 @@ def test_a_near_copy_behind_an_exact_passage_is_found(spark):
             (2, " ".join([prose(716, 70), exact, *changed, prose(717, 80)]))]
     got = sorted((r.doc_id, r.start_word, r.end_word, r.match_start) for r in near_passages(frame(spark, rows)).collect())
     assert got == [(2, 70, 270, 220), (2, 270, 330, 40)]
+
+
+def test_a_part_of_a_passage_in_an_earlier_text_does_not_hide_it(spark):
+    rows, want = [], set()
+    for n, (size, part) in enumerate([(50, 40)] * 12 + [(60, 44)] * 12 + [(80, 60)] * 12):
+        passage, i = prose(5000 + n, size).split(), 10 * n
+        for of, held in enumerate([passage[(size - part) // 2:][:part], passage, passage]):
+            rows.append((i + of, " ".join([prose(6000 + i + of, 60), *held, prose(7000 + i + of, 60)])))
+        want |= {(i + 2, a) for a in range(60, 60 + size - 49)}
+    spans = defaultdict(list)
+    for r in near_passages(frame(spark, rows)).collect():
+        spans[r.doc_id].append((r.start_word, r.end_word))
+    assert [(i, a) for i, a in sorted(want) if not any(b <= a and a + 50 <= e for b, e in spans[i])] == []
