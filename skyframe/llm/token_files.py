@@ -71,30 +71,44 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 
 class HashIndex:
-    """Numbers of 64-bit hashes, in arrays with open addressing: whole arrays are looked up at a time."""
+    """Numbers of 64-bit hashes, in arrays with open addressing: whole arrays are looked up at a time.
+    The arrays double when they would be more than half full."""
 
     BITS = 21
 
     def __init__(self):
-        self.keys, self.numbers, self.count = np.zeros(1 << self.BITS, U64), np.zeros(1 << self.BITS, np.int32), 0
+        self.count = 0
+        self.clear(self.BITS)
+
+    def clear(self, bits: int) -> None:
+        self.bits, self.keys, self.numbers = bits, np.zeros(1 << bits, U64), np.zeros(1 << bits, np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each hash, -1 for those not there."""
         out = np.full(len(hashes), -1, np.int64)
-        which, at, wanted = np.arange(len(hashes)), (hashes >> U64(64 - self.BITS)).astype(np.int64), np.maximum(hashes, U64(1))
+        which, at, wanted = np.arange(len(hashes)), (hashes >> U64(64 - self.bits)).astype(np.int64), np.maximum(hashes, U64(1))
         while len(which):
             there = self.keys[at]
             hit = there == wanted
             out[which[hit]] = self.numbers[at[hit]]
             on = ~hit & (there != 0)
-            which, at, wanted = which[on], (at[on] + 1) & ((1 << self.BITS) - 1), wanted[on]
+            which, at, wanted = which[on], (at[on] + 1) & ((1 << self.bits) - 1), wanted[on]
         return out
 
     def add(self, hashes: np.ndarray) -> np.ndarray:
         """Number distinct hashes that are not there yet, in order."""
         numbers = self.count + np.arange(len(hashes))
         self.count += len(hashes)
-        left, at, wanted = numbers, (hashes >> U64(64 - self.BITS)).astype(np.int64), np.maximum(hashes, U64(1))
+        if 2 * self.count > len(self.keys):
+            used = np.flatnonzero(self.keys)
+            keys, old = self.keys[used], self.numbers[used]
+            self.clear((2 * self.count - 1).bit_length())
+            self.put(keys, old)
+        self.put(hashes, numbers)
+        return numbers
+
+    def put(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        left, at, wanted = numbers, (hashes >> U64(64 - self.bits)).astype(np.int64), np.maximum(hashes, U64(1))
         while len(left):
             free = np.flatnonzero(self.keys[at] == 0)
             _, first = np.unique(at[free], return_index=True)
@@ -102,8 +116,7 @@ class HashIndex:
             self.keys[at[put]], self.numbers[at[put]] = wanted[put], left[put]
             on = np.ones(len(left), bool)
             on[put] = False
-            left, at, wanted = left[on], (at[on] + 1) & ((1 << self.BITS) - 1), wanted[on]
-        return numbers
+            left, at, wanted = left[on], (at[on] + 1) & ((1 << self.bits) - 1), wanted[on]
 
 
 class WordEncoder:

@@ -3,12 +3,14 @@
 import hashlib
 import os
 import random
+import signal
 import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -79,6 +81,19 @@ def test_hash_index():
     assert (index.find(h)[::2] == np.arange(len(h[::2]))).all() and (index.find(h)[1::2] == -1).all()
 
 
+def test_hash_index_grows(monkeypatch):
+    monkeypatch.setattr(HashIndex, "BITS", 6)
+    signal.signal(signal.SIGALRM, lambda *_: pytest.fail("the index never ends"))
+    signal.alarm(30)
+    h = np.unique(np.random.default_rng(3).integers(0, 2**64 - 1, 5000, dtype=np.uint64))
+    index = HashIndex()
+    index.add(h[:10])
+    index.add(h[10:4000])
+    got = index.find(h)
+    signal.alarm(0)
+    assert (got[:4000] == np.arange(4000)).all() and (got[4000:] == -1).all()
+
+
 def test_codes_round_trip():
     r = np.random.default_rng(3)
     for v in (np.zeros(0), np.array([0]), np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1]), r.integers(0, 2**32, 999), r.integers(0, 300, 1001)):
