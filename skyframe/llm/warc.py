@@ -137,24 +137,76 @@ def records_of(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, b
             at = end
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``; raises Damage where it is not whole."""
+def inflate(data: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member at ``at``, and None; of one that is not whole the content before
+    the broken place, its end in the file, and what is wrong."""
     stream, out, place = zlib.decompressobj(31), [], at
-    try:
-        while not stream.eof:
-            if place >= len(data):
-                raise Damage("the member is cut off")
+    while not stream.eof:
+        if place >= len(data):
+            return b"".join(out), len(data), "the member is cut off"
+        kept = stream.copy()
+        try:
             out.append(stream.decompress(data[place:place + STEP]))
-            place += STEP
-    except zlib.error as e:
-        raise Damage(str(e)) from e
-    return b"".join(out), min(place, len(data)) - len(stream.unused_data)
+        except zlib.error as e:
+            return b"".join([*out, *_before_error(kept, data[place:place + STEP])]), place, str(e)
+        place += STEP
+    return b"".join(out), min(place, len(data)) - len(stream.unused_data), None
+
+
+def _before_error(stream, data: memoryview) -> Iterator[bytes]:
+    """What the stream makes of ``data`` up to the place where it fails."""
+    while len(data) > 1:
+        kept, half = stream.copy(), len(data) // 2
+        try:
+            yield stream.decompress(data[:half])
+            data = data[half:]
+        except zlib.error:
+            stream, data = kept, data[:half]
+    try:
+        while True:
+            some = stream.decompress(data, 1)
+            data = stream.unconsumed_tail
+            yield some
+            if not some and not data:
+                return
+    except zlib.error:
+        return
+
+
+def deflated(data: memoryview, at: int, size: int) -> int:
+    """The place in the file up to which the member at ``at`` must be read for its first ``size`` bytes of content,
+    but the last, behind which the decoder may read on at once."""
+    stream, place, size = zlib.decompressobj(31), at, size - 1
+    while size:
+        some = data[place:place + STEP]
+        made = stream.decompress(some, size)
+        size, place = size - len(made), place + len(some) - len(stream.unconsumed_tail)
+    return place
+
+
+def salvaged(data: memoryview, at: int, content: bytes, wrong: str) -> tuple[list, int]:
+    """The records in the content of a member that is not whole, in order, and the end of the last in the file.
+
+    They are the whole records before the broken place.  Where only the member's check fails, the broken
+    place is not known, and records must have a digest of their payload that holds."""
+    found, last = [], 0
+    for _, end, fields, body in records_of(content):
+        if fields is not None and wrong.endswith(("incorrect data check", "incorrect length check")):
+            kind, _, _ = fields.get("warc-payload-digest", "").partition(":")
+            fields = fields if kind.lower() == "sha256" and fields.get("warc-type", "").lower() != "revisit" else None
+        found.append((end, fields, body if fields is not None else b""))
+        last = end if fields is not None else last
+    if not last:
+        raise Damage(wrong)
+    place = deflated(data, at, last)
+    return [(at, place, fields, body) for end, fields, body in found if end <= last], place
 
 
 def salvage(data: memoryview | bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes]]:
     """(start, end, fields, body) of every record of a file, in order, with places in the file (those of
-    its member for a compressed one); fields is None for bytes in quarantine."""
-    whole, data, at, bad = bytes(data), memoryview(data), 0, None
+    its member for a compressed one); fields is None for bytes in quarantine.  Of a member that is not
+    whole, records before the broken place are kept."""
+    whole, data, at, bad, broken = bytes(data), memoryview(data), 0, None, None
     following = {MAGIC: -1, VERSION: -1}
 
     def gap(end: int):
@@ -166,8 +218,12 @@ def salvage(data: memoryview | bytes) -> Iterator[tuple[int, int, dict[str, str]
             continue
         try:
             if whole.startswith(MAGIC, at):
-                content, end = inflate(data, at)
-                found = [(at, end, fields, body) for _, _, fields, body in records_of(content)]
+                content, end, wrong = inflate(data, at)
+                if wrong is None:
+                    found = [(at, end, fields, body) for _, _, fields, body in records_of(content)]
+                else:
+                    found, end = salvaged(data, at, content, wrong)
+                    broken = end
             elif whole.startswith(VERSION, at):
                 fields, body, end = parse_record(whole, at)
                 found = [(at, end, fields, body)]
@@ -183,7 +239,7 @@ def salvage(data: memoryview | bytes) -> Iterator[tuple[int, int, dict[str, str]
             at = min(following.values())
             continue
         yield from gap(at)
-        bad = None
+        bad, broken = broken, None
         yield from found
         at = end
     yield from gap(len(whole))

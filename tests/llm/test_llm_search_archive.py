@@ -116,6 +116,21 @@ def test_salvage_takes_one_member_and_foreign_records():
     assert read(foreign) == [(0, len(foreign), 5)]
 
 
+def test_records_before_the_damage_of_one_member_are_kept():
+    parts = [raw(i, b) for i, b in enumerate(BODIES)]
+    data = gzip.compress(b"".join(parts))
+    stop = zlib.compressobj(wbits=31)
+    cut = stop.compress(b"".join(parts[:5])) + stop.flush(zlib.Z_FULL_FLUSH)
+    for broken in (data[:-200], data[:-9], cut + parts[5][:9], cut + b"\xff" * 60, data[:-8] + b"12345678", cut + b"\xff" * 60 + gzip.compress(parts[7])):
+        found = read(broken)
+        good = [i for _, _, i in found if i is not None]
+        assert good[:5] == [0, 1, 2, 3, 4] and good == sorted(set(good)), found
+        assert all(b == c or b == f for (a, b, _), (c, f, _) in zip(found, found[1:])) and found[-1][1] == len(broken)
+        assert {a for a, _, i in found if i is not None} <= {0, len(broken) - len(gzip.compress(parts[7]))}
+    plain = b"".join(b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 300\r\n\r\n%s\r\n\r\n" % (i, os.urandom(300)) for i in range(9))
+    assert [i for _, _, i in read(gzip.compress(plain)[:-400])] == [*range(7), None]
+
+
 def test_damaged_files_are_read_by_spark(spark, tmp_path):
     good = [member(raw(i, b)) + b"\0" for i, b in enumerate(BODIES)]
     (tmp_path / "a.warc.gz").write_bytes(good[0] + good[1][:50] + good[2])
