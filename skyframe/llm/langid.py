@@ -4,9 +4,9 @@ The kernel of two texts is the number of character n-grams of all lengths in
 ``GRAMS`` that both have (presence, not counts), divided by the geometric
 mean of their own numbers.  Nyström landmarks drawn from labelled texts give
 each text a feature per landmark; one ridge regression per language on those
-features (one versus the rest) scores it.  N-grams are hashed into ``DIM``
-places, so the kernels of a piece of texts with all landmarks are one matrix
-product.
+features (one versus the rest) scores it.  N-grams go by 64-bit codes: those of
+a text are looked up in a dictionary of the landmarks' own, which says which
+landmarks have them, so kernels are exact for texts of every length.
 """
 
 from __future__ import annotations
@@ -64,6 +64,43 @@ def kernel(texts: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return texts @ landmarks.T / np.sqrt(np.maximum(a, 1)[:, None] * np.maximum(b, 1)[None])
 
 
+def grams(column: pa.Array) -> list[np.ndarray]:
+    """Codes of the distinct n-grams of each whole text."""
+    points, at = code_points(column)
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        wide, codes = points[a:b].astype(U64), [np.zeros(0, U64)]
+        for k in GRAMS:
+            if b - a >= k:
+                code = np.zeros(b - a - k + 1, U64)
+                for j in range(k):
+                    code += wide[j:b - a - k + 1 + j] * _factors[k, j]
+                codes.append(np.unique(code))
+        out.append(np.unique(np.concatenate(codes)))
+    return out
+
+
+class Landmarks:
+    """The n-grams of the landmarks, each with one bit for every landmark that has it."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.sizes = np.array([len(t) for t in texts])
+        self.codes, place = np.unique(np.concatenate(texts), return_inverse=True)
+        holds = np.zeros((len(self.codes), len(texts)), bool)
+        holds[place, np.repeat(np.arange(len(texts)), self.sizes)] = True
+        self.bits = np.packbits(holds, axis=1)
+
+    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Normalized presence kernels of texts with all landmarks; a text without n-grams has 0 with all."""
+        out = np.zeros((len(texts), len(self.sizes)), np.float32)
+        for row, t in zip(out, texts):
+            if len(t) and len(self.codes):
+                at = np.minimum(np.searchsorted(self.codes, t), len(self.codes) - 1)
+                both = self.bits[at[self.codes[at] == t]]
+                row[:] = np.unpackbits(both, axis=1, count=len(row)).sum(0) / np.sqrt(len(t) * np.maximum(self.sizes, 1.0))
+        return out
+
+
 class Classifier:
     """Landmarks, their whitening and one ridge regression per language."""
 
@@ -71,13 +108,13 @@ class Classifier:
         self.langs = sorted(set(langs))
         if not self.langs:
             return
-        x = np.concatenate([presence(pa.array(texts[i:i + ROWS], pa.string())) for i in range(0, len(texts), ROWS)])
+        x = [t for i in range(0, len(texts), ROWS) for t in grams(pa.array(texts[i:i + ROWS], pa.string()))]
         r = np.random.default_rng(seed)
         y = np.array([self.langs.index(v) for v in langs])
         share = max(1, landmarks // len(self.langs))
         chosen = np.concatenate([r.permutation(np.flatnonzero(y == c))[:share] for c in range(len(self.langs))])
-        self.landmarks = x[chosen]
-        values, vectors = np.linalg.eigh(kernel(self.landmarks, self.landmarks).astype(np.float64))
+        self.landmarks = Landmarks([x[c] for c in chosen])
+        values, vectors = np.linalg.eigh(self.landmarks.kernel([x[c] for c in chosen]).astype(np.float64))
         keep = values > 1e-6 * values.max()
         self.whiten = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
         phi = self.features(x).astype(np.float64)
@@ -85,15 +122,15 @@ class Classifier:
         weight = (1 / np.bincount(y, minlength=len(self.langs)))[y]  # languages count alike
         self.weights = np.linalg.solve((phi * weight[:, None]).T @ phi + ridge * np.eye(phi.shape[1]), (phi * weight[:, None]).T @ target).astype(np.float32)
 
-    def features(self, x: np.ndarray) -> np.ndarray:
-        phi = kernel(x, self.landmarks) @ self.whiten
+    def features(self, x: list[np.ndarray]) -> np.ndarray:
+        phi = self.landmarks.kernel(x) @ self.whiten
         return np.concatenate([phi, np.ones((len(phi), 1), np.float32)], 1)
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         if not self.langs:
             return [UNKNOWN] * len(column), np.zeros(len(column))
-        margin = self.features(presence(column)) @ self.weights
+        margin = self.features(grams(column)) @ self.weights
         e = np.exp(4.0 * (margin - margin.max(1, keepdims=True)))
         score = (e.max(1) / e.sum(1)).astype(np.float64)
         letters = pc.fill_null(pc.match_substring_regex(column.cast(pa.string()), r"\pL"), False).to_numpy(zero_copy_only=False)

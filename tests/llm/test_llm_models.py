@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from llm_cases import empty, frame, prose, texts  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from skyframe.llm.langid import DIM, Classifier, code_points, kernel, languages, presence  # noqa: E402
+from skyframe.llm.langid import DIM, Classifier, Landmarks, code_points, grams, kernel, languages, presence  # noqa: E402
 from skyframe.llm.mixing import calibrated, mix, rake, with_profile  # noqa: E402
 from skyframe.llm.queries import QUERIES  # noqa: E402
 from skyframe.llm.toxicity import WINDOW, Network, lexicon, toxicity, train, window_rows, windows, with_toxicity  # noqa: E402
@@ -120,6 +120,29 @@ def test_language_cases(spark):
     assert Classifier(["abc"], ["en"]).predict(pa.array(["abd", "1"]))[0] == ["en", "und"]
 
 
+def test_very_long_texts_are_told_apart():
+    r = random.Random(4)
+    vocabulary = {lang: ["".join(r.choice(letters) for _ in range(r.randint(2, 8))) for _ in range(150)] for lang, letters in (("aa", "abcdehilnorst"), ("bb", "adefgikmnrsuz"))}
+
+    def text(lang, n, ids):
+        return " ".join(r.choice(vocabulary[lang]) for _ in range(n)) + "".join(" #" + "".join(chr(r.randrange(0x4E00, 0x5000)) for _ in range(4)) for _ in range(ids))
+
+    model = Classifier([text(lang, 120, 5) for lang in ("aa", "bb") * 60], ["aa", "bb"] * 60)
+    for n, ids in ((200, 0), (20_000, 30_000)):
+        assert model.predict(pa.array([text("aa", n, ids), text("bb", n, ids)]))[0] == ["aa", "bb"]
+
+
+def test_kernels_are_exact_counts():
+    t = ["Ábc 12\tdé", "", "abc abd", "aa aa", "x" * 50 + "abc"]
+    sets = []
+    for x in t:
+        x = x.lower().replace("1", "0").replace("2", "0").replace("\t", " ")
+        sets.append({x[a:a + k] for k in (1, 2, 3, 4) for a in range(len(x) - k + 1)})
+    got = Landmarks(grams(pa.array([t[0], t[2], t[4]]))).kernel(grams(pa.array(t)))
+    want = [[len(a & sets[b]) / max(1, len(a) * len(sets[b])) ** 0.5 for b in (0, 2, 4)] for a in sets]
+    assert np.allclose(got, want)
+
+
 def plain_rake(cells: pd.DataFrame, targets: dict, turns: int = 500) -> np.ndarray:
     w = (cells.tokens / cells.tokens.sum()).to_numpy()
     for _ in range(turns):
