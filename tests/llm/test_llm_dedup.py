@@ -150,3 +150,55 @@ def test_a_part_of_a_passage_in_an_earlier_text_does_not_hide_it(spark):
     for r in near_passages(frame(spark, rows)).collect():
         spans[r.doc_id].append((r.start_word, r.end_word))
     assert [(i, a) for i, a in sorted(want) if not any(b <= a and a + 50 <= e for b, e in spans[i])] == []
+
+
+def test_many_places_of_a_part_do_not_hide_a_passage(spark):
+    rows, want = [], set()
+    for n in range(12):
+        passage, i, times = prose(8000 + n, 64).split(), 10 * n, (40, 66, 200)[n % 3]
+        part = " ".join(passage[10:45])
+        often = " ".join(part + " " + prose(8100 + 300 * n + j, 3) for j in range(times))
+        if n % 2:
+            rows.append((i, prose(8200 + n, 60) + " " + part + " " + prose(8300 + n, 60)))
+        rows.append((i + 1, often + " " + " ".join(passage) + " " + prose(8400 + n, 30)))
+        rows.append((i + 2, prose(8500 + n, 60) + " " + " ".join(passage) + " " + prose(8600 + n, 60)))
+        want |= {(i + 2, a) for a in range(60, 60 + 15)}
+    spans = defaultdict(list)
+    for r in near_passages(frame(spark, rows)).collect():
+        spans[r.doc_id].append((r.start_word, r.end_word))
+    assert [(i, a) for i, a in sorted(want) if not any(b <= a and a + 50 <= e for b, e in spans[i])] == []
+
+
+def test_recall_of_near_copies(spark):
+    """Copies of 80 to 95 % likeness with changed, dropped and added words, some behind an earlier text with a part."""
+    rows, planted = [], {}
+    for n in range(240):
+        size, edits = [(60, 1), (80, 1), (100, 2), (150, 3), (200, 2)][n % 5]
+        words, i = prose(20_000 + n, size).split(), 10 * n
+        copy = list(words)
+        for e in range(edits):
+            at = (2 * e + 1) * size // (2 * edits)
+            copy[at:at + 1] = [["changed" + str(n)], [], [copy[at], "added" + str(n)]][n % 3]
+        p, q = shingle_set(" ".join(words), 5), shingle_set(" ".join(copy), 5)
+        assert 0.8 <= len(p & q) / len(p | q) <= 0.96
+        if n % 4 == 0:
+            rows.append((i, " ".join([prose(30_000 + n, 50), *words[:size // 2], prose(31_000 + n, 50)])))
+        rows.append((i + 1, " ".join([prose(32_000 + n, 60), *words, prose(33_000 + n, 60)])))
+        rows.append((i + 2, " ".join([prose(34_000 + n, 40), *copy, prose(35_000 + n, 80)])))
+        planted[i + 2] = (40, 40 + len(copy))
+    held = defaultdict(set)
+    for r in near_passages(frame(spark, rows)).collect():
+        held[r.doc_id] |= set(range(r.start_word, r.end_word))
+    found = sum(len(held[i] & set(range(a, b))) >= 0.9 * (b - a) for i, (a, b) in planted.items())
+    print("near copies found:", found, "of", len(planted))
+    assert found >= 0.9 * len(planted)
+    assert all(i % 10 for i in held)
+
+
+def test_passage_lengths_out_of_range_are_refused(spark):
+    for bad in (4, 5000):
+        try:
+            near_passages(frame(spark), min_words=bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
