@@ -15,6 +15,7 @@ from .. import fixed
 from ..functions.scalars import domain_ordinal, mean_temp, period_grain, pieces
 from .joins import materialize_sized
 from .query import scope
+from .ranking import carry_forward
 
 GRAIN_LEN = {"year": 4, "month": 7, "day": 10}
 
@@ -131,3 +132,46 @@ def rollup_period(df: DataFrame, grain: str = "month", keys=("district",)) -> Da
                    F.min("min_t").alias("min_min_t"),
                    F.avg("aqi").alias("avg_aqi"),
                    F.count(F.lit(1)).alias("n")))
+
+
+def timeline_filled(df: DataFrame, keys, day: str = "year_mon_day", values=(), low: str | None = None, high: str | None = None) -> DataFrame:
+    """A3/A6 without gaps: a row per key and calendar day from ``low`` to ``high`` (ISO days; those of the
+    rows by default), with the values of the latest row on or before the day and its date as
+    ``filled_from``; NULL before a key's first row.
+
+    ``df`` has at most one row per key and day; rows outside of the span count only as earlier values.  The
+    days come from a generator per key, and values are carried along the ordered days, over
+    the borders of tasks too, without a window per key."""
+    keys, values = list(keys), list(values)
+    span = df.agg(F.coalesce(F.lit(low), F.min(day)).alias("a"), F.coalesce(F.lit(high), F.max(day)).alias("b")).first()
+    rows = df.select(*keys, F.col(day).alias("_day"), F.struct(*values, F.col(day).alias("filled_from")).alias("_seen")).filter(F.col("_day").isNotNull())
+    if span["a"] is None or span["b"] is None:
+        days = df.select(*keys, F.lit("").alias("_day")).limit(0)
+    else:
+        every = F.sequence(F.lit(span["a"]).cast("date"), F.lit(span["b"]).cast("date"))
+        days = df.select(*keys).distinct().withColumn("_day", F.explode(every)).withColumn("_day", F.date_format("_day", "yyyy-MM-dd"))
+    both = rows.withColumn("_wanted", F.lit(0)).unionByName(days.withColumn("_seen", F.lit(None).cast(rows.schema["_seen"].dataType)).withColumn("_wanted", F.lit(1)))
+    filled = carry_forward(both, keys, ["_day", "_wanted"], "_seen")
+    return filled.filter("_wanted = 1").select(*keys, F.col("_day").alias(day), *[F.col(f"_seen.{v}").alias(v) for v in values], F.col("_seen.filled_from").alias("filled_from"))
+
+
+def day_partials(df: DataFrame, keys=("district",)) -> DataFrame:
+    """Mergeable partials per key and day: counts, sums, least and greatest values."""
+    sums = [a for c in ("max_t", "min_t", "aqi") for a in (F.sum(c).cast("double").alias(f"{c}_sum"), F.count(c).alias(f"{c}_n"))]
+    return df.groupBy(*keys, "year_mon_day").agg(F.count(F.lit(1)).alias("n"), F.max("max_t").alias("max_max_t"), F.min("min_t").alias("min_min_t"), *sums)
+
+
+def rollup_levels(df: DataFrame, keys=("district",)) -> DataFrame:
+    """D8 in one pass: day, month, year and all-time rollups together (``grain``, ``period``; '' for all time).
+
+    The rows are scanned and aggregated once, to day partials; the levels are grouping sets over these."""
+    keys = list(keys)
+    days = day_partials(df, keys).withColumns({"_y": F.substring("year_mon_day", 1, 4), "_m": F.substring("year_mon_day", 1, 7)})
+    sets = [[*keys, "_y", "_m", "year_mon_day"], [*keys, "_y", "_m"], [*keys, "_y"], keys]
+    mean = lambda c: (F.sum(f"{c}_sum") / F.nullif(F.sum(f"{c}_n"), F.lit(0))).alias(f"avg_{c}")
+    at = days.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in sets[0]]).agg(
+        F.grouping("_y").alias("_gy"), F.grouping("_m").alias("_gm"), F.grouping("year_mon_day").alias("_gd"), F.sum("n").alias("n"), mean("max_t"),
+        F.max("max_max_t").alias("max_max_t"), F.min("min_min_t").alias("min_min_t"), mean("aqi"))
+    pick = lambda d, m, y, rest: F.when(F.col("_gd") == 0, d).when(F.col("_gm") == 0, m).when(F.col("_gy") == 0, y).otherwise(rest)
+    return at.select(*keys, pick(F.lit("day"), F.lit("month"), F.lit("year"), F.lit("all")).alias("grain"), pick(F.col("year_mon_day"), F.col("_m"), F.col("_y"), F.lit("")).alias("period"),
+                     "n", "avg_max_t", "max_max_t", "min_min_t", "avg_aqi")

@@ -55,7 +55,12 @@ def route_records(df: DataFrame, rec_col: str = "record", sep: str = ",",
     return out.withColumns(cols).drop("_parts")
 
 
-def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order,
+def _stored_keys(target, asked: DataFrame, key: list[str]) -> DataFrame:
+    """Keys of ``asked`` that are stored; ``target`` is the stored table, or a function that looks keys up in a store."""
+    return keys_present(target.select(*key), asked, key) if isinstance(target, DataFrame) else target(asked.select(*key)).select(*key)
+
+
+def mark_batches(target, incoming: DataFrame, batch, key, batch_order,
                  status_col: str | None = None, bad_value: str = "bad",
                  out: str = "accepted") -> DataFrame:
     """Batch-atomic acceptance, as if the batches came one after another
@@ -64,7 +69,8 @@ def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order
     key that is stored already, by ``target`` or by an accepted earlier batch,
     repeats a key inside the batch, has a NULL in its key, or is routed
     ``bad``.  Rejected batches hold no key.  NULL batch values name a batch
-    like any other.  Adds boolean ``out`` to every incoming row.
+    like any other.  Adds boolean ``out`` to every incoming row.  ``target`` is the
+    stored table, or a function from keys to those of them that are stored.
 
     Batches that are bad on their own go first.  Then, in rounds, every batch
     that is the earliest one left for all of its keys is accepted, and those
@@ -79,7 +85,7 @@ def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order
     named = incoming.select(F.struct(*batch).alias("_b"), F.struct(*key).alias("_k"), nulls_last_struct(batch_order + batch).alias("_pos"), broken.alias("_bad"))
     pairs = materialize(named.groupBy("_b", "_k").agg(
         F.min("_pos").alias("_pos"), ((F.count(F.lit(1)) > 1) | F.max("_bad")).alias("_bad")))
-    stored = (keys_present(target.select(*key), pairs.select("_k.*"), key).distinct()
+    stored = (_stored_keys(target, pairs.select("_k.*"), key).distinct()
               .select(F.struct(*key).alias("_k"), F.lit(True).alias("_stored")))
     whole = (pairs.join(stored, "_k", "left").groupBy("_b")
              .agg(F.min("_pos").alias("_at"), F.max(F.col("_bad") | F.col("_stored").isNotNull()).alias("_out")))
@@ -101,7 +107,7 @@ def mark_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order
             .withColumn(out, F.coalesce("_in", F.lit(False))).drop("_b", "_in"))
 
 
-def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_order=(),
+def insert_batches(target, incoming: DataFrame, batch, key, batch_order=(),
                    mode: str = "atomic", order=(), status_col: str | None = None):
     """Returns (accepted, rejected).
 
@@ -117,7 +123,7 @@ def insert_batches(target: DataFrame, incoming: DataFrame, batch, key, batch_ord
         rows = rows if status_col is None else rows.filter(F.col(status_col) != "bad")
         # read by the check of stored keys and by the result: computed once
         firsts = materialize(first_per_key(rows, key, order))
-        stored = keys_present(target.select(*key), firsts, key)
+        stored = _stored_keys(target, firsts, key)
         accepted = firsts.join(stored, list(key), "left_anti").select(*incoming.columns)
         return accepted, _minus_one_copy(incoming, accepted)
     raise ValueError("mode must be 'atomic' or 'first_wins'")
@@ -214,7 +220,7 @@ def write_dead_letters(dead: DataFrame, path: str, col: str = "url") -> str:
     return path
 
 
-def ingest_pages(pages: DataFrame, target: DataFrame, areas: DataFrame | None = None,
+def ingest_pages(pages: DataFrame, target, areas: DataFrame | None = None,
                  url_col: str = "url", html_col: str = "html", mode: str = "atomic",
                  marked: bool = False):
     """S1-S10 composed: landed pages -> ODS rows accepted into ``target``.

@@ -115,6 +115,32 @@ def next_in_group(df: DataFrame, group, order, values, prefix: str = "next_",
     return out.select(*df.columns, *[f"{prefix}{v}" for v in values], f"{prefix}exists")
 
 
+def carry_forward(df: DataFrame, group, order, value: str, num_partitions: int | None = None) -> DataFrame:
+    """``df`` with NULLs of ``value`` replaced by the last value before them in the same group in ``order``
+    (they stay NULL before a group's first).
+
+    Rows are range-partitioned on (group, order).  Values are carried within each task; each task's
+    last group and value (one row per task) are carried from task to task, and what comes into a task
+    goes to the rows of its first group that have no value before them."""
+    group = list(group)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = _range_numbered(df, group + list(order), n)
+    key = F.struct(*[x for g in group for x in (F.col(g).isNull(), F.col(g))])
+    in_task = Window.partitionBy("_pid", "_group").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    local = numbered.withColumn("_group", key).repartitionById(n, "_pid").withColumn("_carried", F.last(value, ignorenulls=True).over(in_task))
+    # one row per task: its first and last group, and the last value of the last group
+    ends = numbered.select("_pid", "_mid", key.alias("_group"), value).groupBy("_pid").agg(F.min_by("_group", "_mid").alias("_first"), F.max_by("_group", "_mid").alias("_last"))
+    tails = (numbered.select("_pid", "_mid", key.alias("_group"), F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).groupBy("_pid", "_group").agg(F.max_by("_v", "_mid").alias("_v")))
+    ends = ends.join(tails.select(F.col("_pid").alias("_p"), F.col("_group").alias("_g"), "_v"), (F.col("_pid") == F.col("_p")) & (F.col("_last") == F.col("_g")), "left")
+    # the nearest earlier task that ends in this task's first group with a value
+    by_task = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    ends = materialize_sized(ends.withColumn("_so_far", F.last("_v", ignorenulls=True).over(by_task)).select("_pid", "_first", "_last", "_so_far"))
+    into = ends.alias("t").join(ends.alias("e"), (F.col("t._first") == F.col("e._last")) & (F.col("e._pid") < F.col("t._pid")))
+    into = into.groupBy(F.col("t._pid").alias("_pid"), F.col("t._first").alias("_group")).agg(F.max_by("e._so_far", "e._pid").alias("_before"))
+    out = local.join(F.broadcast(into), ["_pid", "_group"], "left")
+    return out.withColumn(value, F.coalesce("_carried", "_before")).select(*df.columns)
+
+
 def replicate(df: DataFrame, count_col: str, chunk: int = 100_000) -> DataFrame:
     """Each row ``count_col`` times (the column is dropped).  Large counts are
     first cut into chunks, which are spread over tasks by hash before they

@@ -73,13 +73,22 @@ def load_clean_job(spark: SparkSession, ods_table: str, dwd_table: str, keep=(),
 def stage_job(spark: SparkSession, source: DataFrame, path: str, table: str,
               sep: str = SEP, null: str = NULL) -> str:
     """Full-refresh staging: the source rows (ODS columns, cast to text) are
-    written as sanitised delimited text at ``path`` (overwrite) and ``table``
-    is (re)created as an external text table over it with the ODS schema."""
+    written as sanitised delimited text at ``path`` (overwrite).  An external
+    text table with the ODS schema, ``<table>_text``, is (re)created over it,
+    and ``table`` as a view of it that takes off the mark before values that
+    begin like the null marker, so that what was staged is what is read."""
     from pyspark.sql import functions as F
 
     rows = source.select(*[F.col(f.name).cast("string").alias(f.name) for f in ODS.fields])
     stage_text(rows, path, sep=sep, null=null, mode="overwrite")
-    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(table)}")
-    spark.catalog.createTable(table, path=path, source="csv", schema=ODS,
+    text, view = f"{table}_text", quote_ident(table)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {view}")
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(text)}")
+    spark.catalog.createTable(text, path=path, source="csv", schema=ODS,
                               sep=sep, nullValue=null, quote='"', escape='"', header="false")
+    mark = (null + null).replace("\\", "\\\\").replace("'", "\\'")
+    undone = [f"CASE WHEN startswith({c}, '{mark}') THEN substring({c}, {len(null) + 1}) ELSE {c} END AS {c}" if null else c
+              for c in map(quote_ident, ODS.fieldNames())]
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(undone)} FROM {quote_ident(text)}")
     return table

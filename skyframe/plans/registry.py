@@ -375,6 +375,12 @@ def _fetched_pages(spark, sf):
     return pages.select(url.alias("url"), html.alias("html"))
 
 
+def _customer_areas(spark, sf):
+    """A district per customer."""
+    return read_table(spark, sf, "orders").select("o_custkey").distinct().select(
+        F.format_string("%05d", "o_custkey").alias("area_id"), F.concat(F.lit("D"), F.col("o_custkey").cast("string")).alias("district"))
+
+
 @register("page_ingest", f"""
 WITH r AS (SELECT DISTINCT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
 n AS (SELECT k, year(d) AS y, d, day(d) AS dd, row_number() OVER (PARTITION BY k, year(d) ORDER BY d) AS row_no FROM r),
@@ -390,8 +396,7 @@ SELECT printf('{_FETCHED.replace("%5B", "%%5B").replace("%5D", "%%5D")}', k, y,
 def q_page_ingest(spark, sf):
     path = scratch_path(spark, "pages-fetched")
     _fetched_pages(spark, sf).write.parquet(path)
-    areas = read_table(spark, sf, "orders").select("o_custkey").distinct().select(
-        F.format_string("%05d", "o_custkey").alias("area_id"), F.concat(F.lit("D"), F.col("o_custkey").cast("string")).alias("district"))
+    areas = _customer_areas(spark, sf)
     nothing = spark.createDataFrame([], ODS)
     rows = ingest.ingest_pages(P.read_pages(spark, path), nothing, areas=areas, marked=True)
     return rows.select("url", "row_no", "status", "accepted", "district", "year_mon_day", "max_t", "min_t", "wind", "aqi", "aqi_type")
@@ -704,3 +709,6 @@ _ORDER_LABELS = ["空气质量", "天气", "空气质量指数", "最低温"]
           "WHERE district = 'AFRICA' AND substr(year_mon_day, 1, 4) = '2001'")
 def q_select_label_order(spark, sf):
     return dashboard.data_table(dwd(spark, sf), "AFRICA区", "2001", _ORDER_LABELS)
+
+
+from . import stores  # noqa: E402, F401  (registers its queries; needs what is above)

@@ -30,3 +30,6 @@ DWD = T.StructType([
 ])
 
 DWD_COLUMNS = [f.name for f in DWD.fields]
+
+#: Natural key of the observations.
+ODS_KEY = ["district", "year_mon_day"]

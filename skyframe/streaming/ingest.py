@@ -3,10 +3,11 @@
 A file-source stream runs (``availableNow``: everything landed so far,
 then stop — a scheduled run replaces the periodic crawl).  Each micro-batch
 keeps the first row per key (an aggregate, combined map-side), drops keys
-already stored by *earlier* batches (anti join) and writes its rows into its
-own ``batch_id=N`` folder with overwrite.  A replayed batch therefore
-rewrites the same folder and sees the same earlier state: the sink is
-idempotent and the key stays unique across batches.
+already stored by *earlier* batches and appends its rows to a keyed store
+(``sources.keyed``): the check opens only stored files whose key range and Bloom
+filter allow a key of the micro-batch.  A replayed batch rewrites its own
+folders and sees the same earlier state: the sink is idempotent and the key
+stays unique across batches.
 """
 
 from __future__ import annotations
@@ -14,21 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from ..operators.joins import keys_present, materialize
+from ..operators.joins import materialize
 from ..operators.ranking import first_per_key
 from ..session import scratch_path
+from ..sources import keyed
+from ..sources.versions import exists
 
 
 def _stored(spark: SparkSession, target: str) -> DataFrame | None:
     """What is stored under ``target``; None where nothing is yet."""
-    try:
-        return spark.read.parquet(target)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return spark.read.parquet(target) if exists(spark, target) else None
 
 
 def make_upsert(target: str, key, order):
@@ -37,16 +34,10 @@ def make_upsert(target: str, key, order):
     key, order = list(key), list(order)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # read by the check of stored keys and by the write: computed once
         firsts = materialize(first_per_key(batch.dropna(subset=key), key, order))
-        stored = _stored(spark, target)
-        if stored is not None:
-            # only stored keys that occur in this micro-batch matter
-            earlier = stored.filter(F.col("batch_id") < F.lit(batch_id)).select(*key)
-            hits = keys_present(earlier, firsts, key)
-            firsts = firsts.join(hits, key, "left_anti")
-        firsts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        earlier = keyed.lookup(firsts, target, batch.schema, key, before=batch_id).select(*key)
+        keyed.append(firsts.join(earlier, key, "left_anti"), target, batch_id, key)
 
     return upsert
 
@@ -73,32 +64,29 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, key, o
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
         raise q.exception()
-    stored = _stored(spark, target)
-    if stored is None:
-        return spark.createDataFrame([], schema)
-    return stored.drop("batch_id")
+    stored = keyed.stored(spark, target, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored
 
 
-def make_page_upsert(target: str, rejected: str, mode: str = "atomic"):
+def make_page_upsert(target: str, rejected: str, mode: str = "atomic", areas: DataFrame | None = None):
     """foreachBatch body for landed pages: extract, route and accept rows
     against what earlier batches stored (S3 -> S4 -> S6/S7)."""
     from ..operators.ingest import ingest_pages
-    from ..schema import ODS
+    from ..schema import ODS, ODS_KEY
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = _stored(spark, target)
-        earlier = (stored.filter(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
-                   if stored is not None else spark.createDataFrame([], ODS))
+        def earlier(keys: DataFrame) -> DataFrame:
+            return keyed.lookup(keys, target, ODS, ODS_KEY, before=batch_id).select(*ODS_KEY)
+
         # decide both sides before writing either (they read the same state)
         if mode == "atomic":
-            m = materialize(ingest_pages(batch, earlier, mode=mode, marked=True))
+            m = materialize(ingest_pages(batch, earlier, areas=areas, mode=mode, marked=True))
             acc = m.filter("accepted").select(*ODS.fieldNames())
             rej = m.filter("NOT accepted").drop("accepted")
         else:
-            acc, rej = ingest_pages(batch, earlier, mode=mode)
+            acc, rej = ingest_pages(batch, earlier, areas=areas, mode=mode)
             acc, rej = materialize(acc), materialize(rej)
-        acc.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        keyed.append(acc, target, batch_id, ODS_KEY)
         rej.write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
 
     return upsert
@@ -106,16 +94,17 @@ def make_page_upsert(target: str, rejected: str, mode: str = "atomic"):
 
 def ingest_pages_stream(spark: SparkSession, source: str, target: str | None = None,
                         rejected: str | None = None, checkpoint: str | None = None, fmt: str = "parquet",
-                        mode: str = "atomic", timeout_s: float | None = None) -> tuple[DataFrame, DataFrame]:
+                        mode: str = "atomic", timeout_s: float | None = None, areas: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """D6 for weather pages: run the stream over the pages landed so far;
-    returns (stored ODS rows, rejected rows)."""
+    returns (stored ODS rows, rejected rows).  ``areas`` (area_id, district)
+    replaces the fixed area dimension."""
     from ..schema import ODS, PAGES
 
     target = target or scratch_path(spark, "pages-target")
     rejected = rejected or scratch_path(spark, "pages-rejected")
     checkpoint = checkpoint or scratch_path(spark, "pages-ckpt")
     q = (spark.readStream.schema(PAGES).format(fmt).load(source).writeStream
-         .foreachBatch(make_page_upsert(target, rejected, mode))
+         .foreachBatch(make_page_upsert(target, rejected, mode, areas))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -125,7 +114,7 @@ def ingest_pages_stream(spark: SparkSession, source: str, target: str | None = N
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
         raise q.exception()
-    stored = _stored(spark, target)
+    stored = keyed.stored(spark, target, ODS)
     rej = _stored(spark, rejected)
-    return (stored.drop("batch_id") if stored is not None else spark.createDataFrame([], ODS),
+    return (stored if stored is not None else spark.createDataFrame([], ODS),
             rej.drop("batch_id") if rej is not None else None)
