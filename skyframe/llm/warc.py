@@ -89,12 +89,28 @@ class Damage(Exception):
     """A record or member that fails its checks."""
 
 
-def parse_head(data: bytes, at: int) -> tuple[str, dict[str, str], int]:
-    """Version, fields (lower-case names) and body place of the record head at ``at``."""
-    end = data.find(b"\r\n\r\n", at, at + STEP)
-    if not data.startswith(VERSION, at) or end < 0:
+def starts(data: memoryview, mark: bytes, at: int) -> bool:
+    """Whether ``mark`` stands at ``at``."""
+    return bytes(data[at:at + len(mark)]) == mark
+
+
+def seek(data: memoryview, mark: bytes, at: int) -> int:
+    """The first place of ``mark`` from ``at`` on, or -1; looks at a piece at a time, so that nothing large is copied."""
+    size = 1 << 12
+    while at < len(data):
+        place = bytes(data[at:at + size + len(mark) - 1]).find(mark)
+        if place >= 0:
+            return at + place
+        at, size = at + size, min(2 * size, STEP)
+    return -1
+
+
+def parse_head(data: memoryview, at: int) -> tuple[str, dict[str, str], int]:
+    """Version, fields (lower-case names) and body place of the record head at ``at``, of any length."""
+    end = seek(data, b"\r\n\r\n", at) if starts(data, VERSION, at) else -1
+    if end < 0:
         raise Damage("no record head")
-    first, *lines = data[at:end].decode("utf-8", "replace").split("\r\n")
+    first, *lines = bytes(data[at:end]).decode("utf-8", "replace").split("\r\n")
     fields = {}
     for line in lines:
         name, colon, value = line.partition(":")
@@ -104,7 +120,7 @@ def parse_head(data: bytes, at: int) -> tuple[str, dict[str, str], int]:
     return first, fields, end + 4
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+def parse_record(data: memoryview, at: int) -> tuple[dict[str, str], bytes, int]:
     """Fields, body and end of the record at ``at``; raises Damage where a check fails."""
     _, fields, body = parse_head(data, at)
     length = fields.get("content-length", "")
@@ -113,9 +129,9 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     if not (length.isascii() and length.isdigit()):
         raise Damage("no content length")
     end = body + int(length)
-    if data[end:end + 4] != b"\r\n\r\n":
+    if not starts(data, b"\r\n\r\n", end):
         raise Damage("the record does not end where it says")
-    payload = data[body:end]
+    payload = bytes(data[body:end])
     kind, _, digest = fields.get("warc-payload-digest", "").partition(":")
     if kind.lower() == "sha256" and fields.get("warc-type", "").lower() != "revisit" and hashlib.sha256(payload).hexdigest() != digest.lower():
         raise Damage("the payload has another digest")
@@ -124,14 +140,14 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
 
 def records_of(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes]]:
     """(start, end, fields, body) of the records in plain bytes; fields is None for a gap."""
-    at = 0
+    data, at = memoryview(data), 0
     while at < len(data):
         try:
             fields, body, end = parse_record(data, at)
             yield at, end, fields, body
             at = end
         except Damage:
-            following = data.find(b"\r\n" + VERSION, at)
+            following = seek(data, b"\r\n" + VERSION, at)
             end = len(data) if following < 0 else following + 2
             yield at, end, None, b""
             at = end
@@ -206,26 +222,26 @@ def salvage(data: memoryview | bytes) -> Iterator[tuple[int, int, dict[str, str]
     """(start, end, fields, body) of every record of a file, in order, with places in the file (those of
     its member for a compressed one); fields is None for bytes in quarantine.  Of a member that is not
     whole, records before the broken place are kept."""
-    whole, data, at, bad, broken = bytes(data), memoryview(data), 0, None, None
+    data, at, bad, broken = memoryview(data), 0, None, None
     following = {MAGIC: -1, VERSION: -1}
 
     def gap(end: int):
         return [(bad, end, None, b"")] if bad is not None and end > bad else []
 
-    while at < len(whole):
-        if whole[at] == 0 and bad is None:  # padding between members
+    while at < len(data):
+        if data[at] == 0 and bad is None:  # padding between members
             at += 1
             continue
         try:
-            if whole.startswith(MAGIC, at):
+            if starts(data, MAGIC, at):
                 content, end, wrong = inflate(data, at)
                 if wrong is None:
                     found = [(at, end, fields, body) for _, _, fields, body in records_of(content)]
                 else:
                     found, end = salvaged(data, at, content, wrong)
                     broken = end
-            elif whole.startswith(VERSION, at):
-                fields, body, end = parse_record(whole, at)
+            elif starts(data, VERSION, at):
+                fields, body, end = parse_record(data, at)
                 found = [(at, end, fields, body)]
             else:
                 raise Damage("neither a member nor a record starts here")
@@ -234,15 +250,15 @@ def salvage(data: memoryview | bytes) -> Iterator[tuple[int, int, dict[str, str]
                 bad = at
             for mark, place in following.items():  # found places serve until they are passed
                 if place <= at:
-                    found_at = whole.find(mark, at + 1)
-                    following[mark] = len(whole) if found_at < 0 else found_at
+                    found_at = seek(data, mark, at + 1)
+                    following[mark] = len(data) if found_at < 0 else found_at
             at = min(following.values())
             continue
         yield from gap(at)
         bad, broken = broken, None
         yield from found
         at = end
-    yield from gap(len(whole))
+    yield from gap(len(data))
 
 
 def read_archives(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
