@@ -13,7 +13,7 @@ from llm_cases import edited, empty, frame, prose, shingle_set, texts, word_list
 from skyframe.llm.graph import components  # noqa: E402
 from skyframe.llm.near_dup import near_duplicates  # noqa: E402
 from skyframe.llm.queries import QUERIES  # noqa: E402
-from skyframe.llm.substring import compact_windows, near_passages, without_passages  # noqa: E402
+from skyframe.llm.substring import compact_windows, near_passages, passages, without_passages  # noqa: E402
 
 
 def brute_components(sets: dict) -> dict:
@@ -169,6 +169,17 @@ def test_many_places_of_a_part_do_not_hide_a_passage(spark):
     assert [(i, a) for i, a in sorted(want) if not any(b <= a and a + 50 <= e for b, e in spans[i])] == []
 
 
+def test_frequent_tokens_vote_with_all_their_places():
+    r, missed = np.random.default_rng(11), 0
+    for at in range(0, 11_900, 700):
+        common = r.integers(1, 2**62, 60).astype(np.uint64)  # each about 200 times in y
+        y = common[r.integers(0, 60, 12_000)]
+        x = np.concatenate([r.integers(1, 2**62, 80).astype(np.uint64), y[at:at + 60], r.integers(1, 2**62, 80).astype(np.uint64)])
+        x[80 + 20], x[80 + 41] = 5, 6
+        missed += not any(a < 90 and b > 130 and a - c == 80 - at for a, b, c, d, like in passages(x, y, np.zeros(0, np.int64), 46, 80))
+    assert missed == 0
+
+
 def test_recall_of_near_copies(spark):
     """Copies of 80 to 95 % likeness with changed, dropped and added words, some behind an earlier text with a part."""
     rows, planted = [], {}
