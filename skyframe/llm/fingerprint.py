@@ -1,12 +1,15 @@
 """Document fingerprints: threshold-scaled sketches of word shingles, in DataFrame functions only.
 
 A text's sketch keeps every hash of its five-word shingles that lies below a
-fixed fraction of all hash values, so sketches grow with their texts and can
-be merged and compared however unequal the texts are.  A text with fewer than
-``FLOOR`` such hashes keeps its ``FLOOR`` least ones instead (all, if it has
-fewer); ``threshold`` says up to which hash a sketch is complete.  Two sketches
-are compared up to the lesser of their thresholds, so texts of up to FLOOR
-shingles compare exactly.
+fixed fraction of all hash values, one in ``FRACTION``, so sketches grow with their
+texts and can be merged and compared however unequal the texts are.  ``threshold``
+is the fraction's greatest hash: sketches of several fractions are compared up to
+the lesser one.  ``least`` is the least of all hashes of the text, below the
+threshold or not: it tells texts apart whose sketches have no hash.
+
+An estimate of a part s of n shingles has a standard error of about
+sqrt(s (1 - s) (FRACTION - 1) / n): with one in three kept 0.07 at s = 0.5 and
+n = 100, 0.03 at n = 500.
 """
 
 from __future__ import annotations
@@ -16,19 +19,19 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import next_in_group
 
-LEAST, MOST = -(1 << 63), (1 << 63) - 1
+LEAST = -(1 << 63)
 #: One of ``FRACTION`` hash values lies below the cut.
-FRACTION, FLOOR, K = 8, 64, 5
+FRACTION, K = 3, 5
 CUT = LEAST + (1 << 64) // FRACTION - 1
 
 
-def with_sketch(df: DataFrame, text: str, name: str, k: int = K, cut: int = CUT, floor: int = FLOOR) -> DataFrame:
-    """``df`` with the sketch of column ``text``: a struct ``name`` of ``threshold`` and sorted ``hashes``.
+def with_sketch(df: DataFrame, text: str, name: str, k: int = K, cut: int = CUT) -> DataFrame:
+    """``df`` with the sketch of column ``text``: a struct ``name`` of ``threshold``, ``least`` and sorted ``hashes``.
 
-    Null counts as empty; a text without words has an empty, complete sketch.
+    Null counts as empty; a text without words has no hash, and ``least`` is null.
     A text of fewer than ``k`` words has one shingle, its whole sequence.  Each
     step is a projection of its own, so that no array is computed twice."""
-    tmp = [f"_{name}_{i}" for i in range(4)]
+    tmp = [f"_{name}_{i}" for i in range(2)]
     blank = "[ \\t\\n\\x0B\\f\\r]+"
     trimmed = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"^{blank}|{blank}$", "")
     df = df.withColumn(tmp[0], F.split(trimmed, blank))
@@ -37,11 +40,8 @@ def with_sketch(df: DataFrame, text: str, name: str, k: int = K, cut: int = CUT,
     each = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice(words, i, F.lit(k))))
     none = F.array().cast("array<bigint>")
     df = df.withColumn(tmp[1], F.when(n >= k, each).when((n == 1) & (words[0] == ""), none).otherwise(F.array(F.xxhash64(words)))).drop(tmp[0])
-    df = df.withColumn(tmp[2], F.array_sort(F.array_distinct(F.filter(tmp[1], lambda h: h <= F.lit(cut)))))
-    few = F.size(tmp[2]) < floor
-    df = df.withColumn(tmp[3], F.when(few, F.slice(F.array_sort(F.array_distinct(tmp[1])), 1, floor))).drop(tmp[1])
-    threshold = F.when(~few, F.lit(cut)).when(F.size(tmp[3]) < floor, F.lit(MOST)).otherwise(F.element_at(tmp[3], -1))
-    return df.withColumn(name, F.struct(threshold.cast("long").alias("threshold"), F.coalesce(F.col(tmp[3]), F.col(tmp[2])).alias("hashes"))).drop(*tmp[2:])
+    kept = F.array_sort(F.array_distinct(F.filter(tmp[1], lambda h: h <= F.lit(cut))))
+    return df.withColumn(name, F.struct(F.lit(cut).cast("long").alias("threshold"), F.array_min(tmp[1]).alias("least"), kept.alias("hashes"))).drop(tmp[1])
 
 
 def _common(a: Column, b: Column) -> tuple[Column, Column]:
@@ -51,28 +51,30 @@ def _common(a: Column, b: Column) -> tuple[Column, Column]:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated shared part of all shingles of two texts (0 to 1); 1 if neither has any."""
+    """Estimated shared part of all shingles of two texts (0 to 1).  Where neither has a hash to compare:
+    1 if the least hashes are equal (or neither text has a word), else 0."""
     x, y = _common(a, b)
     both = F.size(F.array_intersect(x, y))
     total = F.size(x) + F.size(y) - both
-    return F.when(total > 0, both / total).otherwise(F.lit(1.0))
+    return F.when(total > 0, both / total).otherwise(a["least"].eqNullSafe(b["least"]).cast("double"))
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated part of a's shingles that b has too (0 to 1); 1 if a has none."""
+    """Estimated part of a's shingles that b has too (0 to 1).  Where a has no hash to compare: 1 if a has
+    no word or the least hashes are equal, else 0."""
     x, y = _common(a, b)
-    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x)).otherwise(F.lit(1.0))
+    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x)).otherwise((a["least"].isNull() | a["least"].eqNullSafe(b["least"])).cast("double"))
 
 
 def merged(a: Column, b: Column) -> Column:
     """Sketch of two texts' shingles together."""
     x, y = _common(a, b)
-    return F.struct(F.least(a["threshold"], b["threshold"]).alias("threshold"), F.array_sort(F.array_union(x, y)).alias("hashes"))
+    return F.struct(F.least(a["threshold"], b["threshold"]).alias("threshold"), F.least(a["least"], b["least"]).alias("least"), F.array_sort(F.array_union(x, y)).alias("hashes"))
 
 
 def as_text(sketch: Column) -> Column:
-    """Threshold and hashes in hexadecimal; equal sketches have equal texts."""
-    return F.concat_ws(":", F.hex(sketch["threshold"]), F.array_join(F.transform(sketch["hashes"], lambda h: F.hex(h)), ","))
+    """Least hash and hashes in hexadecimal; equal sketches have equal fingerprints."""
+    return F.concat_ws(":", F.coalesce(F.hex(sketch["least"]), F.lit("")), F.array_join(F.transform(sketch["hashes"], lambda h: F.hex(h)), ","))
 
 
 def next_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -111,5 +113,5 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = named.join(following, named["id"] == following["owner"]).drop("owner").unionByName(rows.filter("id IS NULL"), allowMissingColumns=True)
     out = out.select("id", "text", n.cast("long").alias("n_chars"), F.concat(F.left("text", n - half), F.left(F.coalesce("head", F.lit("")), half)).alias("edited"), "next_sketch")
     out = with_sketch(with_sketch(out, "text", "sketch"), "edited", "edited_sketch")
-    nothing = F.struct(F.lit(MOST).alias("threshold"), F.array().cast("array<bigint>").alias("hashes"))
+    nothing = F.struct(F.lit(CUT).cast("long").alias("threshold"), F.lit(None).cast("long").alias("least"), F.array().cast("array<bigint>").alias("hashes"))
     return out.select(F.col("id").alias(id_col), "n_chars", "edited", "sketch", "edited_sketch", F.coalesce("next_sketch", nothing).alias("next_sketch"))
