@@ -5,8 +5,9 @@ The kernel of two texts is the number of character n-grams of all lengths in
 mean of their own numbers.  Nyström landmarks drawn from labelled texts give
 each text a feature per landmark; one ridge regression per language on those
 features (one versus the rest) scores it.  N-grams go by 64-bit codes: those of
-a text are looked up in a dictionary of the landmarks' own, which says which
-landmarks have them, so kernels are exact for texts of every length.
+a text are looked up in a dictionary of the landmarks' own, and the kernels of a batch
+of texts with all landmarks are products of two presence matrices over it, so kernels
+are exact for texts of every length.
 """
 
 from __future__ import annotations
@@ -17,15 +18,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import in_arrow
 from .words import U64, pieces
 
 GRAMS = (1, 2, 3, 4)
-DIM = 1 << 14
-ROWS = 64
+ROWS, BLOCK = 64, 1 << 14
 UNKNOWN = "und"
 _factors = np.random.default_rng(31).integers(1, 2**64 - 1, (max(GRAMS) + 1, max(GRAMS)), dtype=U64) | U64(1)
 
@@ -40,30 +40,6 @@ def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.where(points <= 32, np.uint32(32), points), at
 
 
-def presence(column: pa.Array) -> np.ndarray:
-    """(texts, DIM) matrix of 0 and 1: which hashed n-grams each whole text has."""
-    points, at = code_points(column)
-    n = len(points)
-    out = np.zeros((len(at) - 1, DIM), np.float32)
-    row = np.repeat(np.arange(len(at) - 1, dtype=np.int64) * DIM, np.diff(at))
-    left = np.repeat(at[1:], np.diff(at)) - np.arange(n)
-    wide, flat = points.astype(U64), out.ravel()
-    for k in GRAMS:
-        if n >= k:
-            code = np.zeros(n - k + 1, U64)
-            for j in range(k):
-                code += wide[j:n - k + 1 + j] * _factors[k, j]
-            place = (code >> U64(50)).astype(np.int64) + row[:len(code)]
-            flat[place if k == 1 else place[left[:len(code)] >= k]] = 1
-    return out
-
-
-def kernel(texts: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    """Normalized presence kernels, a batched matrix product; a text without n-grams has 0 with all."""
-    a, b = texts.sum(1), landmarks.sum(1)
-    return texts @ landmarks.T / np.sqrt(np.maximum(a, 1)[:, None] * np.maximum(b, 1)[None])
-
-
 def grams(column: pa.Array) -> list[np.ndarray]:
     """Codes of the distinct n-grams of each whole text."""
     points, at = code_points(column)
@@ -91,14 +67,25 @@ class Landmarks:
         self.bits = np.packbits(holds, axis=1)
 
     def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Normalized presence kernels of texts with all landmarks; a text without n-grams has 0 with all."""
-        out = np.zeros((len(texts), len(self.sizes)), np.float32)
-        for row, t in zip(out, texts):
-            if len(t) and len(self.codes):
-                at = np.minimum(np.searchsorted(self.codes, t), len(self.codes) - 1)
-                both = self.bits[at[self.codes[at] == t]]
-                row[:] = np.unpackbits(both, axis=1, count=len(row)).sum(0) / np.sqrt(len(t) * np.maximum(self.sizes, 1.0))
-        return out
+        """Normalized presence kernels of texts with all landmarks; a text without n-grams has 0 with all.
+        Texts by n-grams times n-grams by landmarks, ``BLOCK`` n-grams at a time."""
+        sizes = np.array([len(t) for t in texts])
+        grams_of = np.concatenate([np.zeros(0, U64), *texts])
+        shared = np.zeros((len(texts), len(self.sizes)))
+        if len(grams_of) and len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, grams_of), len(self.codes) - 1)
+            known = self.codes[at] == grams_of
+            at, row = at[known], np.repeat(np.arange(len(texts)), sizes)[known]
+            order = np.argsort(at)
+            at, row = at[order], row[order]
+            edges = np.searchsorted(at, np.arange(0, len(self.codes) + BLOCK, BLOCK))
+            for i, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                if hi > lo:
+                    held = np.unpackbits(self.bits[i * BLOCK:(i + 1) * BLOCK], axis=1, count=len(self.sizes)).astype(np.float32)
+                    has = np.zeros((len(texts), len(held)), np.float32)
+                    has[row[lo:hi], at[lo:hi] - i * BLOCK] = 1
+                    shared += has @ held
+        return (shared / np.sqrt(np.maximum(sizes, 1.0)[:, None] * np.maximum(self.sizes, 1.0)[None])).astype(np.float32)
 
 
 class Classifier:
@@ -138,16 +125,25 @@ class Classifier:
         return [self.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters)], np.where(letters, score, 0.0)
 
 
+def excerpt(text: Column, chars: int, parts: int = 4) -> Column:
+    """The whole text, or, of one of more than ``chars`` code points, ``parts`` stretches of ``chars // parts`` spread evenly from its start to its end."""
+    n, width = F.length(text), chars // parts
+    starts = [F.floor((n - width) * i / (parts - 1)).cast("int") + 1 for i in range(parts)]
+    return F.when(n <= chars, text).otherwise(F.concat_ws(" ", *[F.substring(text, at, F.lit(width)) for at in starts]))
+
+
 def language_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, max_chars: int) -> pd.DataFrame:
-    """At most ``per_lang`` texts of each language, of ``max_chars`` code points at most, in order of a hash of their id."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("id").isNotNull() & F.length("text").between(1, max_chars))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    few = rows.select("id", "lang").withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("id", "lang").distinct().toPandas()
-    if few.empty:
-        return pd.DataFrame({"id": [], "lang": [], "text": []})
-    wanted = F.broadcast(docs.sparkSession.createDataFrame([(int(i), str(v)) for i, v in few.itertuples(index=False)], "id long, lang string"))
-    got = rows.join(wanted, ["id", "lang"], "left_semi").groupBy("id", "lang").agg(F.min("text").alias("text")).toPandas()
+    """``per_lang`` texts of each language (all, if fewer), those with the least hashes of their ids, each as an excerpt of about ``max_chars`` code points.
+
+    The ids of each language are counted (approximately) first, so that rows are kept by a bound on their hash alone,
+    without sorting a language: about ``per_lang`` and ten deviations more reach the driver, which takes the first ``per_lang``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("hash")).filter(
+        F.col("lang").isNotNull() & F.col("id").isNotNull() & (F.length("text") > 0))
+    part = (1.1 * per_lang + 10 * per_lang ** 0.5) / F.approx_count_distinct("id", 0.02)
+    share = rows.groupBy("lang").agg(part.alias("part")).withColumnRenamed("lang", "_lang")
+    few = rows.join(share, F.col("lang") == F.col("_lang")).filter(F.shiftrightunsigned("hash", 11) / F.lit(float(1 << 53)) < F.col("part"))
+    got = few.groupBy("lang", "id", "hash").agg(F.min(excerpt(F.col("text"), max_chars)).alias("text")).toPandas()
+    got = got.sort_values(["lang", "hash", "id"], ignore_index=True).groupby("lang").head(per_lang)
     return got.sort_values(["id", "lang"], ignore_index=True)
 
 
@@ -156,8 +152,9 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """(id, lang_pred, score) of every row of ``docs``.
 
     Learns from the text and non-null language of documents for which
-    ``learn`` holds (all if None): at most ``per_lang`` of each language, each
-    of ``max_chars`` code points at most; scores read whole texts.  A text that
+    ``learn`` holds (all if None): at most ``per_lang`` of each language, those
+    of more than ``max_chars`` code points by stretches spread over them; scores
+    read whole texts.  A text that
     is null or has no letter is ``und`` with score 0, as are all texts where
     nothing is labelled.  Rows with null or repeated ids are scored alike."""
     sample = language_sample(docs if learn is None else docs.filter(learn), id_col, text_col, lang_col, per_lang, max_chars)

@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from llm_cases import empty, frame, prose, texts  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from skyframe.llm.langid import DIM, Classifier, Landmarks, code_points, grams, kernel, languages, presence  # noqa: E402
+from skyframe.llm import langid  # noqa: E402
+from skyframe.llm.langid import Classifier, Landmarks, grams, language_sample, languages  # noqa: E402
 from skyframe.llm.mixing import calibrated, mix, rake, with_profile  # noqa: E402
 from skyframe.llm.queries import QUERIES  # noqa: E402
 from skyframe.llm.toxicity import WINDOW, Network, lexicon, toxicity, train, window_rows, windows, with_toxicity  # noqa: E402
@@ -92,17 +93,15 @@ def test_op5_scores_every_document(spark, sf_dir):
     assert rows.score.between(0, 1).all() and rows.held_out.mean() < 0.3
 
 
-def test_presence_equals_brute_force():
-    from skyframe.llm.langid import _factors
-
-    t = ["Ábc 12\tdé", "", None, "aa aa", "x"]
-    points, at = code_points(pa.array(t))
-    got = presence(pa.array(t))
-    for i in range(len(t)):
-        p = [int(c) for c in points[at[i]:at[i + 1]]]
-        want = {(sum(p[a + j] * int(_factors[k, j]) for j in range(k)) % 2**64) >> 50 for k in (1, 2, 3, 4) for a in range(len(p) - k + 1)}
-        assert set(np.flatnonzero(got[i])) == want
-    assert np.allclose(np.diag(kernel(got, got)), [1, 0, 0, 1, 1]) and got.shape[1] == DIM
+def test_long_texts_are_learnt_by_excerpts(spark):
+    long = [(i, "zz", " ".join(f"word{i} start" if j < 50 else "middle" if j < 2000 else f"end{i}" for j in range(4000))) for i in range(30)]
+    rows = spark.createDataFrame(long + [(100 + i, "aa", "brief") for i in range(30)] + [(200, None, "none"), (None, "aa", "no id"), (201, "aa", "")], "doc_id long, lang string, text string")
+    got = language_sample(rows, "doc_id", "text", "lang", 20, 400)
+    assert got.groupby("lang").size().to_dict() == {"aa": 20, "zz": 20}
+    assert all(len(t) == 403 and "start" in t and "middle" in t and "end" in t for t in got.text[got.lang == "zz"])
+    again = language_sample(rows.unionByName(rows).repartition(7), "doc_id", "text", "lang", 20, 400)
+    assert got.equals(again)
+    assert len(language_sample(rows, "doc_id", "text", "lang", 1000, 400)) == 60
 
 
 def test_languages_are_told_apart(spark, sf_dir):
@@ -132,12 +131,13 @@ def test_very_long_texts_are_told_apart():
         assert model.predict(pa.array([text("aa", n, ids), text("bb", n, ids)]))[0] == ["aa", "bb"]
 
 
-def test_kernels_are_exact_counts():
+def test_kernels_are_exact_counts(monkeypatch):
     t = ["Ábc 12\tdé", "", "abc abd", "aa aa", "x" * 50 + "abc"]
     sets = []
     for x in t:
         x = x.lower().replace("1", "0").replace("2", "0").replace("\t", " ")
         sets.append({x[a:a + k] for k in (1, 2, 3, 4) for a in range(len(x) - k + 1)})
+    monkeypatch.setattr(langid, "BLOCK", 8)  # so that the product runs over several blocks
     got = Landmarks(grams(pa.array([t[0], t[2], t[4]]))).kernel(grams(pa.array(t)))
     want = [[len(a & sets[b]) / max(1, len(a) * len(sets[b])) ** 0.5 for b in (0, 2, 4)] for a in sets]
     assert np.allclose(got, want)
