@@ -50,13 +50,14 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return levels.select(margin, (F.col("p") / F.lit(float(total))).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-6, rounds: int = 20) -> tuple[DataFrame, float]:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-6) -> tuple[DataFrame, dict[str, float]]:
     """``cells`` (a column per margin, ``tokens``) with ``weight``, raked to ``targets`` ({margin: (margin, target)}),
-    and the largest difference of a margin from its target that is left.
+    and of each margin the largest difference from its target that is left.
 
     Levels that a target does not name, or that have no tokens, weigh nothing; targets are scaled to 1 over the
-    levels there are.  Raking ends when a round of sweeps moves no weight by more than ``tolerance``, at the latest
-    after ``rounds`` rounds (targets that contradict empty cells cannot all be met)."""
+    levels there are.  Raking goes on until every margin meets its target within ``tolerance``, or a round of sweeps
+    moves no weight by more than that: then the targets contradict each other, or nearly do (levels that would have to
+    share weight have no cell in common), and the gaps say by how much they are missed."""
     for m, t in targets.items():
         cells = cells.join(t.select(F.col(m).alias("_level"), F.col("target").cast("double").alias(f"_t_{m}")), F.col(m).eqNullSafe(F.col("_level")), "left").drop("_level")
     whole = cells.agg(F.sum("tokens").alias("s")).first()["s"] or 1
@@ -65,19 +66,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     marginal = {m: F.sum("weight").over(Window.partitionBy(m)) for m in targets}
     # a target's share among the levels that are there
     present = {m: cells.filter("weight > 0").groupBy(m).agg(F.max(f"_t_{m}").alias("t")).agg(F.sum("t").alias("t")).first()["t"] or 1.0 for m in targets}
-    gap = 0.0
-    for _ in range(rounds):
+    gaps = dict.fromkeys(targets, 0.0)
+    while True:
         now = cells.withColumn("_was", F.col("weight"))
         for _ in range(SWEEPS):
             for m in targets:
                 now = now.withColumn("_m", marginal[m]).withColumn("weight", F.when(F.col("_m") > 0, F.col("weight") * F.col(f"_t_{m}") / present[m] / F.col("_m")).otherwise(F.lit(0.0)))
         cells = landed(now.drop("_m"), "cells")
-        off = F.greatest(*[F.abs(marginal[m] - F.col(f"_t_{m}") / present[m]) for m in targets], F.lit(0.0))
-        state = cells.withColumn("_off", F.when(F.col("weight") > 0, off)).agg(F.max("_off").alias("off"), F.max(F.abs(F.col("weight") - F.col("_was"))).alias("moved")).first()
-        cells, gap = cells.drop("_was"), state["off"] or 0.0
-        if (state["moved"] or 0.0) <= tolerance:
+        # a level that had weight and lost it all is off by its whole target
+        off = [F.max(F.when(F.col("_was") > 0, F.col(f"_o_{m}"))).alias(m) for m in targets]
+        state = cells.withColumns({f"_o_{m}": F.abs(marginal[m] - F.col(f"_t_{m}") / present[m]) for m in targets}).agg(*off, F.max(F.abs(F.col("weight") - F.col("_was"))).alias("_moved")).first()
+        cells, gaps = cells.drop("_was"), {m: state[m] or 0.0 for m in targets}
+        if max(gaps.values()) <= tolerance or (state["_moved"] or 0.0) <= tolerance:
             break
-    return cells.drop(*[f"_t_{m}" for m in targets]), gap
+    return cells.drop(*[f"_t_{m}" for m in targets]), gaps
 
 
 def calibrated(cells: DataFrame, keep: float) -> DataFrame:
@@ -104,19 +106,23 @@ def draw(*of) -> Column:
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = 0.8, power: float = 0.7, seed: int = 17,
-        id_col: str = "doc_id", text_col: str = "text", margins: tuple[str, ...] = ("source", "lang")) -> tuple[DataFrame, dict[str, str]]:
+        id_col: str = "doc_id", text_col: str = "text", margins: tuple[str, ...] = ("source", "lang"), slack: float = 0.01) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with four more columns, and what they are called ({"tokens", "topic", "probability", "kept"}: name).
 
     Rakes token weights to the margins and the topic.  ``targets`` gives a (level, target) table
-    for any of them (the topic's is keyed "topic"); the others get their present shares to ``power``.  A null level
-    is a level.  Texts without words weigh nothing and are kept with probability ``keep``.  Equal rows share one
+    for any of them (the topic's is keyed "topic"); the others get their present shares to ``power``.  If a given
+    target cannot be met within ``slack``, ValueError names the margins that are off; those by ``power`` are wishes and
+    come as near as the cells allow.  A null level is a level.  Texts without words weigh nothing and are kept with probability ``keep``.  Equal rows share one
     fate; an empty table gives an empty result."""
     names = {n: free_name(docs, n) for n in ("tokens", "topic", "probability", "kept")}
     rows = with_profile(docs, text_col, names["tokens"], names["topic"])
     dims = {**{m: m for m in margins}, "topic": names["topic"]}
     cells = landed(rows.filter(F.col(names["tokens"]) > 0).groupBy(*[F.col(c).alias(f"m_{d}") for d, c in dims.items()]).agg(F.sum(names["tokens"]).alias("tokens")), "cells")
     wanted = {f"m_{d}": (targets[d].toDF(f"m_{d}", "target") if targets and d in targets else tempered(cells, f"m_{d}", power)) for d in dims}
-    raked, _ = rake(cells, wanted)
+    raked, gaps = rake(cells, wanted)
+    unmet = {d: round(gaps[f"m_{d}"], 6) for d in dims if targets and d in targets and gaps[f"m_{d}"] > slack}
+    if unmet:
+        raise ValueError(f"targets cannot all be met by the documents there are; margins off by: {unmet}")
     chances = landed(calibrated(raked, keep).select(*wanted, F.col("probability").alias(names["probability"])), "chances")
     same = [F.col(c).eqNullSafe(F.col(f"m_{d}")) for d, c in dims.items()]
     on = same[0]
