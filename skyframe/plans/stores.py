@@ -14,7 +14,7 @@ from ..operators import clean as C, ingest, intervals, ledger
 from ..operators.charts import rollup_levels, timeline_filled
 from ..schema import ODS
 from ..session import scratch_path
-from ..sources import keyed, tables, versions
+from ..sources import keyed, quarantine, tables, versions
 from ..sources.adapter import ROW_ID, read_table
 from ..streaming.ingest import ingest_pages_stream
 from . import incremental, registry as R
@@ -256,6 +256,23 @@ def q_staged_table(spark, sf):
     return spark.table(name).select(*ODS.fieldNames())
 
 
+@R.register("staged_quarantine", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+r AS (SELECT *, CASE k % 50 WHEN 0 THEN k || '^WEA' || c WHEN 1 THEN k || '^WEA' || c || '^WEAx' || cents ELSE k || '^WEA' || c || '^WEA' || cents END AS line,
+             CASE WHEN k % 50 = 0 THEN 'arity' WHEN k % 50 = 1 THEN 'type' WHEN cents < 5000000 THEN 'cheap' END AS rule FROM o)
+SELECT CASE WHEN rule IS NULL THEN k END AS o_orderkey, CASE WHEN rule IS NULL THEN c END AS o_custkey, CASE WHEN rule IS NULL THEN cents END AS cents,
+       rule, CASE WHEN rule IS NOT NULL THEN line END AS line, CASE WHEN rule IS NOT NULL THEN count(*) OVER (PARTITION BY rule) END AS of_rule FROM r""")
+def q_staged_quarantine(spark, sf):
+    # orders staged with lines cut short and amounts that are no numbers; cheap orders break a rule
+    path, k = scratch_path(spark, "staged-orders"), F.col("o_orderkey")
+    rows = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    amount = F.when(k % 50 == 1, F.concat(F.lit("x"), F.col("cents").cast("string"))).when(k % 50 != 0, F.col("cents").cast("string"))
+    rows.select(F.concat_ws("^WEA", k.cast("string"), F.col("o_custkey").cast("string"), amount)).write.text(path)
+    got = quarantine.load_quarantined(spark, path, rows.schema, scratch_path(spark, "loaded-orders"), rules={"cheap": F.col("cents") >= 5_000_000})
+    rejects = got.rejects.join(got.counts.withColumnRenamed("n", "of_rule"), "rule").select("rule", "line", "of_rule")
+    return got.good.unionByName(rejects, allowMissingColumns=True)
+
+
 @R.register("page_stream", R.ORACLE["page_ingest"].split("SELECT printf(")[0] + """
 SELECT district, year_mon_day, max_t, min_t, wind, aqi, aqi_type FROM a WHERE accepted""")
 def q_page_stream(spark, sf):

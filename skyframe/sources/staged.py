@@ -30,12 +30,12 @@ def _opts(sep: str, null: str) -> dict:
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def _marked(df: DataFrame, null: str, undo: bool = False) -> DataFrame:
-    """Texts that begin with the null marker get one more before them, so that
-    only NULL itself is staged as the bare marker; ``undo`` takes it off."""
+def _marked(df: DataFrame, null: str, undo: bool = False, only: list[str] | None = None) -> DataFrame:
+    """Texts (of the columns ``only``) that begin with the null marker get one more before
+    them, so that only NULL itself is staged as the bare marker; ``undo`` takes it off."""
     if not null:
         return df
-    cols = {f.name: F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    cols = {f.name: F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (only is None or f.name in only)}
     if undo:
         cols = {n: F.when(c.startswith(null + null), F.substring(c, F.lit(len(null) + 1), F.length(c))).otherwise(c) for n, c in cols.items()}
     else:
