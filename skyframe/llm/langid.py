@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import in_arrow
+from .scratch import in_arrow, landed
 from .words import U64, pieces
 
 GRAMS = (1, 2, 3, 4)
@@ -140,7 +140,7 @@ def language_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("hash")).filter(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & (F.length("text") > 0))
     part = (1.1 * per_lang + 10 * per_lang ** 0.5) / F.approx_count_distinct("id", 0.02)
-    share = rows.groupBy("lang").agg(part.alias("part")).withColumnRenamed("lang", "_lang")
+    share = landed(rows.groupBy(F.col("lang").alias("_lang")).agg(part.alias("part")), "shares")  # its bytes are known: texts are not shuffled for it
     few = rows.join(share, F.col("lang") == F.col("_lang")).filter(F.shiftrightunsigned("hash", 11) / F.lit(float(1 << 53)) < F.col("part"))
     got = few.groupBy("lang", "id", "hash").agg(F.min(excerpt(F.col("text"), max_chars)).alias("text")).toPandas()
     got = got.sort_values(["lang", "hash", "id"], ignore_index=True).groupby("lang").head(per_lang)
