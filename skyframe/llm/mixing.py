@@ -111,8 +111,8 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
 
     Rakes token weights to the margins and the topic.  ``targets`` gives a (level, target) table
     for any of them (the topic's is keyed "topic"); the others get their present shares to ``power``.  If a given
-    target cannot be met within ``slack``, ValueError names the margins that are off; those by ``power`` are wishes and
-    come as near as the cells allow.  A null level is a level.  Texts without words weigh nothing and are kept with probability ``keep``.  Equal rows share one
+    target cannot be met within ``slack``, ValueError names the margins that are off; those by ``power`` are wishes:
+    they come as near as the cells allow, and are left out where they keep a given target from being met.  A null level is a level.  Texts without words weigh nothing and are kept with probability ``keep``.  Equal rows share one
     fate; an empty table gives an empty result."""
     names = {n: free_name(docs, n) for n in ("tokens", "topic", "probability", "kept")}
     rows = with_profile(docs, text_col, names["tokens"], names["topic"])
@@ -120,7 +120,10 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     cells = landed(rows.filter(F.col(names["tokens"]) > 0).groupBy(*[F.col(c).alias(f"m_{d}") for d, c in dims.items()]).agg(F.sum(names["tokens"]).alias("tokens")), "cells")
     wanted = {f"m_{d}": (targets[d].toDF(f"m_{d}", "target") if targets and d in targets else tempered(cells, f"m_{d}", power)) for d in dims}
     raked, gaps = rake(cells, wanted)
-    unmet = {d: round(gaps[f"m_{d}"], 6) for d in dims if targets and d in targets and gaps[f"m_{d}"] > slack}
+    given = {f"m_{d}" for d in dims if targets and d in targets}
+    if any(gaps[m] > slack for m in given):  # the wishes yield
+        raked, gaps = rake(cells, {m: t for m, t in wanted.items() if m in given})
+    unmet = {m.removeprefix("m_"): round(gaps[m], 6) for m in given if gaps[m] > slack}
     if unmet:
         raise ValueError(f"targets cannot all be met by the documents there are; margins off by: {unmet}")
     chances = landed(calibrated(raked, keep).select(*wanted, F.col("probability").alias(names["probability"])), "chances")
