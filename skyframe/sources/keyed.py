@@ -37,9 +37,15 @@ def _hash(key: list[str], salt: int) -> Column:
     return F.xxhash64(F.lit(salt), *[c for k in key for c in (F.col(k).isNull(), F.col(k))])
 
 
-def _probe(key: list[str], i: int) -> Column:
-    """The ``i``-th bit of a key in its block, from 0."""
-    return F.shiftrightunsigned(_hash(key, 2), 15 * i).bitwiseAND(F.lit(BLOCK_BITS - 1))
+def _probe(mark: Column, i: int) -> Column:
+    """The ``i``-th bit, from 0, in its block of a key whose hash is ``mark``."""
+    return F.shiftrightunsigned(mark, 15 * i).bitwiseAND(F.lit(BLOCK_BITS - 1))
+
+
+def _number(file: str = "file") -> Column:
+    """A file's short name in rows that are there once per key.  Files that shared one would be
+    marked, tested and opened together."""
+    return F.xxhash64(file).alias("no")
 
 
 def _bit(bits: Column, place: Column) -> Column:
@@ -71,11 +77,21 @@ def append(df: DataFrame, base: str, batch_id: int, key, buckets: int = BUCKETS)
     files = files.withColumn("blocks", F.ceil(F.col("n") / BLOCK_KEYS).cast("int"))
     files.write.mode("overwrite").parquet(f"{base}/_summary/files/batch_id={batch_id}")
     sizes = spark.read.schema(files.schema).parquet(f"{base}/_summary/files/batch_id={batch_id}").select("file", "blocks")
-    marks = rows.join(sizes, "file").select("file", F.pmod(_hash(key, 3), "blocks").cast("int").alias("block"), F.explode(F.array(*[_probe(key, i) for i in range(PROBES)])).alias("place"))
-    bits = marks.groupBy("file", "block").agg(F.bitmap_construct_agg("place").alias("bits"))
+    marks = rows.select(*key, _number()).join(sizes.select("blocks", _number()), "no")
+    marks = marks.select("no", F.pmod(_hash(key, 3), "blocks").cast("int").alias("block"), F.explode(F.array(*[_probe(_hash(key, 2), i) for i in range(PROBES)])).alias("place"))
+    bits = marks.groupBy("no", "block").agg(F.bitmap_construct_agg("place").alias("bits"))
+    bits = bits.join(sizes.select("file", _number()), "no").select("file", "block", "bits")
     bits.write.mode("overwrite").parquet(f"{base}/_summary/bloom/batch_id={batch_id}")
 
 
+def _near(asked: DataFrame, files: DataFrame, key: list[str]) -> DataFrame:
+    """(no, block, mark) of each key and each file of its bucket whose range holds it: there are as many rows as
+    keys times batches, so they carry neither the key nor the file's path."""
+    whole = F.struct(*key)
+    near = asked.join(files.select("bucket", "lo", "hi", "blocks", _number()), "bucket").filter((F.col("lo") <= whole) & (whole <= F.col("hi")))
+    return near.select("no", F.pmod(_hash(key, 3), "blocks").cast("int").alias("block"), _hash(key, 2).alias("mark"))
+
+
 def candidate_files(keys: DataFrame, base: str, key, buckets: int = BUCKETS, before: int | None = None) -> list[str]:
     """Files that can hold one of the keys: in the key's bucket, its range and its Bloom filter.
 
@@ -88,13 +104,11 @@ def candidate_files(keys: DataFrame, base: str, key, buckets: int = BUCKETS, bef
     if before is not None:
         files, bloom = files.filter(F.col("batch_id") < before), bloom.filter(F.col("batch_id") < before)
     asked = keys.select(*key).distinct().withColumn("bucket", F.pmod(_hash(key, 1), F.lit(buckets)).cast("int"))
-    whole = F.struct(*key)
-    near = asked.join(files, "bucket").filter((F.col("lo") <= whole) & (whole <= F.col("hi")))
-    near = near.withColumn("block", F.pmod(_hash(key, 3), "blocks").cast("int"))
-    hit = near.join(bloom.select("file", "block", "bits"), ["file", "block"])
+    hit = _near(asked, files, key).join(bloom.select(_number(), "block", "bits"), ["no", "block"])
     for i in range(PROBES):
-        hit = hit.filter(_bit(F.col("bits"), _probe(key, i)))
-    return sorted(r["file"] for r in hit.select("file").distinct().collect())
+        hit = hit.filter(_bit(F.col("bits"), _probe(F.col("mark"), i)))
+    found = files.select("file", _number()).join(hit.select("no").distinct(), "no", "left_semi")
+    return sorted(r["file"] for r in found.select("file").distinct().collect())
 
 
 def lookup(keys: DataFrame, base: str, schema: T.StructType, key, buckets: int = BUCKETS, before: int | None = None) -> DataFrame:

@@ -110,6 +110,23 @@ def test_no_stored_key_is_missed_and_batches_replay(spark):
     assert keyed.lookup(df.limit(20), base, df.schema, ["a", "b"]).filter("batch_id = 1").count() >= 20
 
 
+def test_rows_tested_per_key_carry_no_paths_and_equal_short_names_miss_nothing(spark, monkeypatch):
+    def store(name):
+        base = scratch_path(spark, name)
+        for batch in range(2):
+            rows = spark.range(400).select((F.col("id") * 2 + batch).alias("k"), F.lit(batch).alias("v"))
+            keyed.append(rows, base, batch, ["k"], buckets=4)
+        return base, rows.schema
+
+    base, _ = store("t-narrow")
+    asked = spark.range(10).select(F.col("id").alias("k"), F.lit(0).alias("bucket"))
+    assert dict(keyed._near(asked, spark.read.parquet(f"{base}/_summary/files"), ["k"]).dtypes) == {"no": "bigint", "block": "int", "mark": "bigint"}
+    monkeypatch.setattr(keyed, "_number", lambda file="file": F.lit(7).cast("long").alias("no"))
+    base, schema = store("t-one-name")
+    found = keyed.lookup(spark.range(0, 900, 3).select(F.col("id").alias("k")), base, schema, ["k"], buckets=4)
+    assert rows_of(found) == sorted(((k, k % 2, k % 2) for k in range(0, 800, 3)), key=str)
+
+
 # ------------------------------------------------------------------- arrivals
 
 def _ods(seed, n, months=("01", "02", "03")):
