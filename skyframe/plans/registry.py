@@ -47,7 +47,7 @@ def register(name: str, sql: str | None):
 def ods(spark: SparkSession, sf: str) -> DataFrame:
     """The staged (ODS) table: the source rows landed once per application,
     so cleaning reads a table instead of re-running the source joins."""
-    return serving_table(spark, f"ods:{sf}", lambda: observations(spark, sf), spread_by=ROW_ID)
+    return serving_table(spark, f"ods:{sf}", lambda: observations(spark, sf), partition_by=(), sort_by=())
 
 
 def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:

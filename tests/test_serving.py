@@ -38,3 +38,14 @@ def test_a_hot_value_is_split_by_the_row_id(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     path = serving._SERVED[(spark.sparkContext.applicationId, "t-hot")][0].replace("file:", "")
     assert len(glob.glob(path + "/district=a/*.parquet")) > 1
+
+
+def test_part_texts_are_not_shuffled_with_the_rows(spark, sf_dir):
+    from skyframe.sources.adapter import observations
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(observations(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sent = [block for block in plan.split("\n\n") if ") Exchange" in block]
+    assert sent and not any("p_name" in block and "l_orderkey" in block for block in sent)
