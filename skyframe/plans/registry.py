@@ -25,7 +25,7 @@ from ..sources import grid, pages as P, snapshot, staged, tables
 from ..sources.adapter import OBS_SQL, ROW_ID, observations, read_table
 from ..streaming.ingest import ingest_stream
 from . import dashboard
-from .serving import serving_table
+from .serving import deal, serving_table
 
 ALL_LABELS = ["最高温", "最低温", "天气", "风向", "空气质量指数", "空气质量"]
 DAY = "1997-03-03"
@@ -57,7 +57,12 @@ def fresh_dwd(spark: SparkSession, sf: str) -> DataFrame:
 
 def dwd(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned table as dashboards read it: built once per application."""
-    return serving_table(spark, f"dwd:{sf}", lambda: C.clean(ods(spark, sf), keep=ROW_ID), spread_by=ROW_ID)
+    def build():
+        staged = ods(spark, sf)
+        rows = staged.count()
+        return C.clean(staged, keep=ROW_ID, deal=lambda df: deal(df, ["district", "year_mon_day", *ROW_ID], rows))
+
+    return serving_table(spark, f"dwd:{sf}", build, dealt=True)
 
 
 # ---------------------------------------------------------------- oracle CTEs

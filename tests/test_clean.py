@@ -132,3 +132,15 @@ def test_gap_filling_same_beyond_broadcast_bound(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert a == b
+
+
+def test_dealing_staged_rows_out_changes_no_row(spark):
+    plain, seen = C.clean(ods(spark)), []
+
+    def deal(df):
+        seen.append(df.columns)
+        return df.repartition(3, "year_mon_day")
+
+    dealt = C.clean(ods(spark), deal=deal)
+    assert seen == [ods(spark).columns]
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)

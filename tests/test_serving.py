@@ -40,6 +40,17 @@ def test_a_hot_value_is_split_by_the_row_id(spark):
     assert len(glob.glob(path + "/district=a/*.parquet")) > 1
 
 
+def test_large_tables_are_dealt_by_rows_and_staged_rows_are_not_dealt(spark, monkeypatch):
+    src = spark.range(4000).selectExpr("'a' AS district", "'2016-01-01' AS year_mon_day", "id")
+    monkeypatch.setattr(serving, "TASK_ROWS", 1000)
+    tasks = serving.deal(src, ["district", "year_mon_day", "id"], 4000)
+    assert tasks.rdd.getNumPartitions() == 4 and max(len(p) for p in tasks.rdd.glom().collect()) < 2000
+    got = serving.serving_table(spark, "t-plain", lambda: src.coalesce(1), partition_by=(), sort_by=())
+    assert [r.id for r in got.coalesce(1).collect()] == list(range(4000))
+    again = serving.serving_table(spark, "t-dealt", lambda: tasks, dealt=True)
+    assert again.count() == 4000 and len([f for f in again.inputFiles() if "district=a" in f]) == 4
+
+
 def test_part_texts_are_not_shuffled_with_the_rows(spark, sf_dir):
     from skyframe.sources.adapter import observations
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
