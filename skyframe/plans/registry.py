@@ -25,7 +25,7 @@ from ..sources import grid, pages as P, snapshot, staged, tables
 from ..sources.adapter import OBS_SQL, ROW_ID, observations, read_table
 from ..streaming.ingest import ingest_stream
 from . import dashboard
-from .serving import deal, serving_table
+from .serving import TASK_ROWS, deal, serving_table
 
 ALL_LABELS = ["最高温", "最低温", "天气", "风向", "空气质量指数", "空气质量"]
 DAY = "1997-03-03"
@@ -153,7 +153,9 @@ _RANK_ORDER = ["district", "year_mon_day", *ROW_ID, *TIE_BREAK]
           f"(ORDER BY {', '.join(_RANK_ORDER)}) AS row_rank FROM dwd")
 def q_sorted_rank(spark, sf):
     # C6 orders the cleaned rows: rank the stored DWD table
-    return global_rank(dwd(spark, sf), _RANK_ORDER, name="row_rank")
+    cleaned = dwd(spark, sf)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cleaned.count() // TASK_ROWS)
+    return global_rank(cleaned, _RANK_ORDER, name="row_rank", num_partitions=tasks)
 
 
 # ---------------------------------------------------------------- selections
