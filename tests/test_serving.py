@@ -60,3 +60,14 @@ def test_part_texts_are_not_shuffled_with_the_rows(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     sent = [block for block in plan.split("\n\n") if ") Exchange" in block]
     assert sent and not any("p_name" in block and "l_orderkey" in block for block in sent)
+
+
+def test_ranks_are_made_in_tasks_by_rows(spark, monkeypatch):
+    from skyframe.plans import registry
+    asked = []
+    monkeypatch.setattr(registry, "dwd", lambda *_: spark.range(20_000))
+    monkeypatch.setattr(registry, "global_rank", lambda df, order, name, num_partitions=None: asked.append(num_partitions) or df)
+    for rows in (1000, 250_000):
+        monkeypatch.setattr(registry, "TASK_ROWS", rows)
+        registry.q_sorted_rank(spark, "")
+    assert asked == [20, int(spark.conf.get("spark.sql.shuffle.partitions"))]
