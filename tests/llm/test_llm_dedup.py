@@ -74,6 +74,14 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    from skyframe.llm import graph
+    monkeypatch.setattr(graph, "_toward_least", None)
+    links = spark.createDataFrame([(1, i) for i in range(2, 9)] + [(5, 1), (20, 21)], "a long, b long")
+    assert {tuple(r) for r in graph.components(links, "a", "b").collect()} == {(i, 1) for i in range(1, 9)} | {(20, 20), (21, 20)}
+    assert graph.components(links.limit(0), "a", "b").collect() == []
+
+
 def test_compact_windows_cover_every_stretch_once():
     r = np.random.default_rng(1)
     for values in (r.integers(0, 50, 120).astype(np.uint64), np.zeros(40, np.uint64), np.arange(30).astype(np.uint64)):
@@ -123,6 +131,19 @@ def test_a_very_common_line_does_not_hide_a_passage(spark):
     assert got == {(201, 200)}
 
 
+def test_common_lines_in_many_texts_do_not_hide_a_near_copy(spark):
+    rows, want = [], set()
+    for n in range(10):
+        lines = [prose(9000 + 10 * n + i, 14) for i in range(4)]
+        rows += [(1000 * n + 10 * i + j, " ".join([prose(20000 + 1000 * n + 10 * i + j, 60), lines[i], prose(40000 + 1000 * n + 10 * i + j, 60)])) for i in range(4) for j in range(8)]
+        passage = " ".join(lines).split()
+        near = [*passage[:28], "changedword", *passage[29:]]
+        rows += [(1000 * n + 100 + m, " ".join([prose(60000 + 2 * n + m, 60), *p, prose(70000 + 2 * n + m, 60)])) for m, p in enumerate((passage, near))]
+        want.add((1000 * n + 101, 1000 * n + 100))
+    got = {(r.doc_id, r.match_id) for r in near_passages(frame(spark, rows)).collect()}
+    assert got <= want and len(got) >= 9
+
+
 def test_every_copy_of_a_passage_in_a_text_is_found(spark):
     passage = prose(701, 80)
     rows = [(1, prose(702, 50) + " " + passage + " " + prose(703, 300)), (2, prose(704, 60) + " " + passage + " " + prose(705, 90) + " " + passage + " " + prose(706, 20))]
