@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from .scratch import landed
 
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node is in one edge toward its top, or a top itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("top")).union(edges.select("v", F.lit(0), F.lit(1)))
+    open_ = ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("top").alias("top")).filter("low + top > 1")
+    return open_.agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def _toward_least(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -27,22 +29,18 @@ def _toward_least(edges: DataFrame, larger_only: bool) -> DataFrame:
     out = out.select(F.col("other").alias("u"), F.col("low").alias("v"))
     if not larger_only:
         out = out.union(least.select(F.col("node").alias("u"), F.col("low").alias("v")))
-    return out.filter("u != v").distinct()
+    out = out.filter("u != v")
+    return out if larger_only else out.distinct()
 
 
 def components(links: DataFrame, u: str, v: str) -> DataFrame:
     """(node, component) of every node of ``links``; the component is its least node.
 
-    Rounds go on until the edges stop changing; each is written to the shared
+    Rounds go on until the edges are stars; each is written to the shared
     folder.  A node of very many links meets its least neighbour by a partial
     aggregate and a join that adaptive execution can split."""
     edges = landed(links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u != v").distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         edges = landed(_toward_least(_toward_least(edges, True), False), "edges")
-        new = _state(edges)
-        if new == state:
-            break
-        state = new
     tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
