@@ -6,6 +6,7 @@ import sys
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -201,6 +202,16 @@ def test_frequent_tokens_vote_with_all_their_places():
     assert missed == 0
 
 
+def test_equal_texts_of_pairs_are_split_into_words_once(monkeypatch):
+    from skyframe.llm import substring
+    one, two, seen, split = prose(801, 70), prose(802, 90), [], substring.words
+    monkeypatch.setattr(substring, "words", lambda column: seen.append(len(column)) or split(column))
+    got = substring._tokens_of(pa.array([one, two, one, "", one, "é " + two, two]), 5)
+    assert seen == [4] and [len(t) for t in got] == [66, 86, 66, 0, 66, 87, 86]
+    assert (got[0] == got[4]).all() and (got[1] == got[6]).all() and (got[5][1:] == got[1]).all()
+    assert substring._tokens_of(pa.array([], pa.string()), 5) == []
+
+
 def test_recall_of_near_copies(spark):
     """Copies of 80 to 95 % likeness with changed, dropped and added words, some behind an earlier text with a part."""
     rows, planted = [], {}
