@@ -3,10 +3,12 @@
 import itertools
 import os
 import sys
+import time
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -212,6 +214,40 @@ def test_equal_texts_of_pairs_are_split_into_words_once(monkeypatch):
     assert substring._tokens_of(pa.array([], pa.string()), 5) == []
 
 
+def test_shuffle_files_of_a_landed_table_do_not_stay(spark):
+    from skyframe.llm.scratch import CLEANUP, discard, landed
+    before, sc = spark.conf.get(CLEANUP), spark.sparkContext
+    there = lambda: sum(len([f for f in files if f.startswith("shuffle_")]) for d in local.split(",") for _, _, files in os.walk(d))
+    local = ",".join(str(d) for d in sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    had = there()
+    table = landed(spark.range(5000).repartition(4, "id").groupBy((F.col("id") % 7).alias("g")).count(), "groups")
+    for _ in range(50):
+        if there() <= had:
+            break
+        time.sleep(0.1)
+    assert there() <= had and spark.conf.get(CLEANUP) == before
+    assert table.count() == 7
+    discard(table)
+
+
+def test_pairs_of_any_number_of_goes_give_the_same_passages(spark, monkeypatch):
+    from skyframe.llm import substring
+    rows = []
+    for n in range(6):
+        lines = [prose(9500 + 10 * n + i, 14) for i in range(4)]
+        rows += [(1000 * n + 10 * i + j, " ".join([prose(25000 + 1000 * n + 10 * i + j, 60), lines[i], prose(45000 + 1000 * n + 10 * i + j, 60)])) for i in range(4) for j in range(3)]
+        passage = " ".join(lines).split()
+        rows += [(1000 * n + 100 + m, " ".join([prose(65000 + 4 * n + m, 60), *passage[:28], *([] if m == 0 else [f"changed{m}"]), *passage[28 + (m > 0):], prose(75000 + 4 * n + m, 60)])) for m in range(3)]
+    want = sorted(near_passages(frame(spark, rows)).collect())
+    verified, names = [], substring.landed
+    monkeypatch.setattr(substring, "AT_ONCE", 1 / 16)
+    monkeypatch.setattr(substring, "PARTS", 3)
+    monkeypatch.setattr(substring, "FEW", 2)
+    monkeypatch.setattr(substring, "landed", lambda df, name: verified.append(name) or names(df, name))
+    assert sorted(near_passages(frame(spark, rows)).collect()) == want and want
+    assert verified.count("common") == 6
+
+
 def test_recall_of_near_copies(spark):
     """Copies of 80 to 95 % likeness with changed, dropped and added words, some behind an earlier text with a part."""
     rows, planted = [], {}
