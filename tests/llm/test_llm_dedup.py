@@ -16,7 +16,7 @@ from llm_cases import edited, empty, frame, prose, shingle_set, texts, word_list
 from skyframe.llm.graph import components  # noqa: E402
 from skyframe.llm.near_dup import near_duplicates  # noqa: E402
 from skyframe.llm.queries import QUERIES  # noqa: E402
-from skyframe.llm.substring import compact_windows, near_passages, passages, without_passages  # noqa: E402
+from skyframe.llm.substring import compact_windows, near_passages, passages, text_windows, without_passages  # noqa: E402
 
 
 def brute_components(sets: dict) -> dict:
@@ -248,6 +248,19 @@ def test_pairs_of_any_number_of_goes_give_the_same_passages(spark, monkeypatch):
     assert verified.count("common") == 6
 
 
+def test_windows_of_texts_at_once_are_those_of_each_text():
+    r = np.random.default_rng(4)
+    for top in (2, 40, 2**62):
+        values, at = r.integers(0, top, 900).astype(np.uint64), np.array([0, 0, 300, 310, 900])
+        for least, reach in ((1, 4095), (7, 3), (7, 64), (30, 4095)):
+            got = list(zip(*(c.tolist() for c in text_windows(values, at, least, reach))))
+            want = [(int(a) + c, min(c - left, reach), min(right - c, reach)) for a, b in zip(at, at[1:]) for left, c, right in (compact_windows(values[a:b], least) if b - a >= least else [])]
+            assert got == want
+    began = time.process_time()
+    text_windows(np.zeros(60_000, np.uint64), np.array([0, 60_000]), 46, 4095)  # equal tokens: about 10 s when neighbours were passed one by one
+    assert time.process_time() - began < 3
+
+
 def test_recall_of_near_copies(spark):
     """Copies of 80 to 95 % likeness with changed, dropped and added words, some behind an earlier text with a part."""
     rows, planted = [], {}
